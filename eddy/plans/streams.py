@@ -23,8 +23,10 @@ def _sides_pred():
 
 
 def _join_input(spark, d):
-    return ev(spark, d).select(EID, K, TS, "event_type",
-                               F.col(V).cast("decimal(10,2)").cast("string").alias("v"))
+    """The two input streams of the joins (left and right event types)."""
+    return (ev(spark, d).filter(F.col("event_type").isin(LEFT_TYPE, RIGHT_TYPE))
+            .select(EID, K, TS, "event_type",
+                    F.col(V).cast("decimal(10,2)").cast("string").alias("v")))
 
 
 TUMBLE_CLOSED = f"""

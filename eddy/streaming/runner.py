@@ -14,6 +14,8 @@ query result is read back with ``spark.read``.
 
 from __future__ import annotations
 
+import os
+import sys
 from dataclasses import dataclass
 from typing import Callable
 
@@ -27,13 +29,20 @@ from ..session import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """``transformWithState`` needs the RocksDB state store (it also keeps
     large state off the JVM heap). Read at query start, then pinned by the
-    checkpoint."""
+    checkpoint. Changelog checkpointing uploads only the changes of each
+    batch instead of new snapshot files."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, "") != ROCKSDB:
         spark.conf.set(key, ROCKSDB)
+    cl = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    if spark.conf.get(cl, None) is None:
+        spark.conf.set(cl, "true")
 
 
 def stream_source_schema(df: DataFrame) -> T.StructType:
@@ -48,6 +57,11 @@ class ChunkedStream:
     build:   streaming DataFrame -> streaming DataFrame to sink
     ts:      event-time column of ``table`` used to cut the chunks
     splits:  optional explicit cut points as fractions of the time span
+    no_data: when to let Spark run a trailing batch without input after the
+             watermark moved: "always", "last" (only after the final chunk:
+             enough for watermark-closed windows and timers, since the next
+             chunk's batch closes them otherwise) or "never" (operators that
+             emit eagerly: joins, per-row state)
     """
     spark: SparkSession
     name: str
@@ -56,6 +70,7 @@ class ChunkedStream:
     chunks: int = 3
     splits: list[float] | None = None
     output_mode: str = "append"
+    no_data: str = "last"
 
     def _bounds(self) -> list[int]:
         # one small aggregate (two numbers) to place the cuts
@@ -85,11 +100,23 @@ class ChunkedStream:
             stream = self.spark.readStream.schema(schema).parquet(src)
             out = build(stream)
             out_schema = out.schema
-            q = (out.writeStream.format("parquet")
-                 .option("path", sink).option("checkpointLocation", ckpt)
-                 .outputMode(self.output_mode)
-                 .trigger(availableNow=True).start())
+            last = hi is None
+            want = {"always": True, "never": False, "last": last}[self.no_data]
+            before = self.spark.conf.get(NO_DATA, "true")
+            # the query copies the session conf when it starts
+            self.spark.conf.set(NO_DATA, "true" if want else "false")
+            try:
+                q = (out.writeStream.format("parquet")
+                     .option("path", sink).option("checkpointLocation", ckpt)
+                     .outputMode(self.output_mode)
+                     .trigger(availableNow=True).start())
+            finally:
+                self.spark.conf.set(NO_DATA, before)
             q.awaitTermination()
             if q.exception() is not None:
                 raise q.exception()
+            if os.environ.get("EDDY_STREAM_DEBUG"):
+                for p in q.recentProgress:
+                    print("eddy-stream", self.name, p["batchId"], p["numInputRows"],
+                          p["durationMs"], file=sys.stderr)
         return self.spark.read.schema(out_schema).parquet(sink)

@@ -69,7 +69,7 @@ def stream_tumbling_window_join(spark, events, key, size, left_pred, right_pred,
                                        [c for c in cols if c != key])
         return j.select(key, _ntz("window_start").alias("window_start"),
                         *[c for c in j.columns if c not in (key, "window_start")])
-    return ChunkedStream(spark, "wjoin", events, "ts", chunks).run(build)
+    return ChunkedStream(spark, "wjoin", events, "ts", chunks, no_data="never").run(build)
 
 
 def stream_interval_join(spark, events, key, lower, upper, left_pred, right_pred, cols,
@@ -82,7 +82,7 @@ def stream_interval_join(spark, events, key, lower, upper, left_pred, right_pred
         return joins.interval_join(l, r, key, ETS, lower, upper,
                                    [c for c in cols if c != key],
                                    [c for c in cols if c != key], bucketed=False)
-    return ChunkedStream(spark, "ijoin", events, "ts", chunks).run(build)
+    return ChunkedStream(spark, "ijoin", events, "ts", chunks, no_data="never").run(build)
 
 
 def stream_cogroup_session(spark, events, key, gap, value, tiebreak, left_pred,
@@ -119,7 +119,7 @@ def stream_rolling(spark, events, key="user_id", ts="ts", value="value",
         return s.groupBy("user_id").transformWithStateInPandas(
             statefulProcessor=RollingState(), outputStructType=ROLLING_OUT,
             outputMode="Append", timeMode="None")
-    out = ChunkedStream(spark, "rolling", events, ts, chunks).run(build)
+    out = ChunkedStream(spark, "rolling", events, ts, chunks, no_data="never").run(build)
     return out.withColumn("ts", ntz_from_us("t_us")).withColumn(
         "best_ts", ntz_from_us("best_t"))
 
