@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_us
-from ..session import default_parallelism
+from ..session import default_parallelism, ensure_checkpoint_dir
 from .scan import KeyedOrder, keyed_scan
 
 
@@ -89,21 +89,28 @@ def running_count_global(df: DataFrame, order: list[str], *,
     count of all earlier partitions (a table of ``partitions`` rows, so its
     broadcast size is bounded by construction).
 
-    The range exchange has an explicit partition count, so AQE does not
-    coalesce it and both branches see the same partitions."""
+    The numbered rows are cut from their lineage with a reliable
+    ``checkpoint()`` in ``spark.checkpoint.dir``: partition ids come from
+    sampled range bounds, and the per-partition counts must be taken from
+    the very same partitioning (two independent samplings of a shuffled
+    input can disagree). Only ``keep`` + ``order`` columns are written."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = partitions or default_parallelism(spark)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    keep = list(keep or [])
+    cols = list(dict.fromkeys([*keep, *order]))
+    ranged = (df.select(*cols).repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_idx", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid", F.coalesce(F.sum("_n").over(
             Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("_off"))
     res = ranged.join(F.broadcast(offsets), "_pid")
-    return res.select(*(keep or []),
+    return res.select(*keep,
                       (F.col("_off") + F.col("_idx") + 1).cast("bigint").alias(out))
 
 
