@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import abs_diff_at_least, duration_us, epoch_us, ntz_from_us
-from .scan import KeyedOrder, previous_value, running_sum
+from .scan import KEY, KeyedOrder, previous_value, running_sum, strip
 
 
 def _ko(key, ts, tiebreak, bucket) -> KeyedOrder:
@@ -23,7 +23,7 @@ def jump_alarm(df: DataFrame, key, ts: str, value: str, threshold: float, *,
     least ``threshold`` from its previous reading. The first reading of a key
     only sets the state."""
     ko = _ko(key, ts, tiebreak, bucket)
-    d = previous_value(df, ko, value, out="last_value").drop("_tb")
+    d = strip(previous_value(df, ko, value, out="last_value"))
     return (d.filter(F.col("last_value").isNotNull()
                      & abs_diff_at_least("last_value", value, threshold))
             .select(*keep, *ko.keys, "last_value", value))
@@ -63,16 +63,16 @@ def rise_alarm(df: DataFrame, key, ts: str, value: str, interval: str, *,
     d = previous_value(df, ko, value, out="_prev")
     d = d.withColumn("_fall", (F.col("_prev").isNotNull()
                                & (F.col(value) < F.col("_prev"))).cast("bigint"))
-    d = running_sum(d, ko, "_fall", "_streak").drop("_tb")
+    d = running_sum(d, ko, "_fall", "_streak").drop("_tb")  # keeps the struct key
     item = F.struct(epoch_us(ts).alias("t"), *[F.col(c).alias(f"o{i}") for i, c in
                                                enumerate(ko.tiebreak)],
                     F.col(value).cast("double").alias("v"))
-    g = d.groupBy(*ko.keys, "_streak").agg(
+    g = d.groupBy(KEY, "_streak").agg(
         F.array_sort(F.collect_list(item)).alias("_rows"),
         F.min(epoch_us(ts)).alias("_start"))
-    nxt = g.select(*ko.keys, (F.col("_streak") - 1).alias("_streak"),
+    nxt = g.select(KEY, (F.col("_streak") - 1).alias("_streak"),
                    F.col("_start").alias("_next"))
-    g = g.join(nxt, on=[*ko.keys, "_streak"], how="left")
+    g = g.join(nxt, on=[KEY, "_streak"], how="left")
 
     floor0 = (F.lit(first_floor).cast("double") if first_floor is not None
               else F.lit(None).cast("double"))
@@ -96,6 +96,6 @@ def rise_alarm(df: DataFrame, key, ts: str, value: str, interval: str, *,
         due = pend.isNotNull() & (F.col("_next").isNull() | (F.col("_next") > pend))
         return F.when(due, F.array_append(s["fired"], pend)).otherwise(s["fired"])
 
-    alarms = g.select(*ko.keys, F.explode(F.aggregate("_rows", zero, step, finish))
-                      .alias("_a"))
-    return alarms.select(*ko.keys, ntz_from_us("_a").alias("alarm_ts"))
+    alarms = g.select(KEY, F.explode(F.aggregate("_rows", zero, step, finish)).alias("_a"))
+    return alarms.select(*[F.col(f"{KEY}.{c}").alias(c) for c in ko.keys],
+                         ntz_from_us("_a").alias("alarm_ts"))

@@ -21,7 +21,7 @@ def _running_max_ts(df, key, ts, arrival, bucket_col, inclusive: bool, out: str)
         within={"_wmax": F.max(ts).over(frame)},
         summary={"_bmax": F.max(ts)},
         carry={"_pmax": lambda k: F.max("_bmax").over(k.buckets_before())},
-        result={out: F.greatest("_pmax", "_wmax")}).drop("_tb")
+        result={out: F.greatest("_pmax", "_wmax")}).drop("_tb", "_k")
 
 
 def monotone_ts(df: DataFrame, key, ts: str, arrival: list[str],

@@ -144,7 +144,7 @@ def session_ids(df: DataFrame, key, ts: str, gap: str, tiebreak=(),
         | (F.col(ts) > F.col("_prev_ts") + F.expr(f"INTERVAL {duration_us(gap)} MICROSECONDS")),
         F.lit(1)).otherwise(F.lit(0)))
     d = running_sum(d, ko, "_new", out)
-    return d.drop("_prev_ts", "_new", "_tb")
+    return d.drop("_prev_ts", "_new", "_tb", "_k")
 
 
 def cogroup_per_arrival(left: DataFrame, right: DataFrame, key, ts: str, gap: str,

@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import duration_us, epoch_us
 
 TB = "_tb"
+KEY = "_k"
+# bucket of rows without event time: before every real bucket
+NULL_BUCKET = -(2 ** 62)
 
 
 @dataclass
@@ -50,7 +53,10 @@ class KeyedOrder:
 
     @property
     def pkeys(self) -> list[str]:
-        return [*self.keys, TB]
+        # the key columns travel as one struct: a struct is never NULL, so
+        # joins on it keep rows whose key is NULL (they form one key, as in
+        # a window's partitionBy)
+        return [KEY, TB]
 
     # window specs inside one (key, bucket)
     def ordered(self) -> WindowSpec:
@@ -64,20 +70,28 @@ class KeyedOrder:
 
     # window specs over the per-bucket summary
     def buckets(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(TB)
+        return Window.partitionBy(KEY).orderBy(TB)
 
     def buckets_before(self) -> WindowSpec:
         return self.buckets().rowsBetween(Window.unboundedPreceding, -1)
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
-        if TB in df.columns:
+        if TB in df.columns and KEY in df.columns:
             return df
+        df = df.withColumn(KEY, F.struct(*[F.col(c) for c in self.keys]))
         if self.bucket_col is not None:
-            return df.withColumn(TB, self.bucket_col.cast("bigint"))
-        if self.bucket is None:
-            return df.withColumn(TB, F.lit(0).cast("bigint"))
-        w = duration_us(self.bucket)
-        return df.withColumn(TB, F.floor(epoch_us(self.ts) / F.lit(w)).cast("bigint"))
+            tb = self.bucket_col.cast("bigint")
+        elif self.bucket is None:
+            tb = F.lit(0).cast("bigint")
+        else:
+            w = duration_us(self.bucket)
+            tb = F.floor(epoch_us(self.ts) / F.lit(w)).cast("bigint")
+        return df.withColumn(TB, F.coalesce(tb, F.lit(NULL_BUCKET).cast("bigint")))
+
+
+def strip(df: DataFrame) -> DataFrame:
+    """Drop the scan's internal key/bucket columns."""
+    return df.drop(KEY, TB)
 
 
 def keyed_scan(df: DataFrame, ko: KeyedOrder, *,

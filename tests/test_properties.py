@@ -141,3 +141,23 @@ def test_interval_join_bucketed_equals_plain(ev):
         b = joins.interval_join(l, r, "user_id", "ts", lo, hi, ["event_id"], ["event_id"],
                                 bucketed=False)
         assert rows(a) == rows(b)
+
+
+def test_null_keys_and_times_are_kept(spark):
+    """Per-event operators emit one row per input row, NULL key or NULL time
+    included (NULL keys form one key, NULL times sort first)."""
+    data = [(None, 1_000_000, 1.0, 0), (None, 2_000_000, 5.0, 1), (1, None, 2.0, 2),
+            (1, 3_000_000, 9.0, 3), (2, 4_000_000, 1.0, 4)]
+    df = spark.createDataFrame(data, "k bigint, us bigint, v double, e bigint")
+    df = df.withColumn("ts", ntz_from_us("us"))
+    for mode in ("max", "max_by", "reduce"):
+        assert rolling.rolling_max(df, "k", "ts", "v", tiebreak=["e"], mode=mode,
+                                   keep=["e"]).count() == 5
+    c = {r["e"]: r["cnt"] for r in rolling.running_count(
+        df, "k", "ts", tiebreak=["e"], keep=["e"]).collect()}
+    assert c == {0: 1, 1: 2, 2: 1, 3: 2, 4: 1}
+    h = rolling.running_history(df, "k", "ts", "e", depth=3, tiebreak=["e"], keep=["e"])
+    assert h.count() == 5
+    j = {r["e"] for r in alarms.jump_alarm(df, "k", "ts", "v", 3.0, tiebreak=["e"],
+                                           keep=["e"]).collect()}
+    assert j == {1, 3}
