@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_median
+
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -69,12 +71,21 @@ def window_sum_min_max(df, key, ts, size, value, digits: int = 2):
         "max_value": F.max(value)})
 
 
-def window_median(df, key, ts, size, value, exact: bool = True, digits: int = 3):
-    """Full-window median. ``exact`` buffers the window's values
-    (bounded by one window of one key); otherwise ``percentile_approx``
+def window_median(df, key, ts, size, value, exact: bool = True, digits: int = 3,
+                  accuracy: int = 10000):
+    """Full-window median per key. ``exact`` uses the two-pass
+    sketch-bracketed median of ``quantiles.exact_median`` (no window's
+    values are buffered in one task); otherwise ``percentile_approx``
     (fixed-size sketch, partial aggregation)."""
-    med = F.median(value) if exact else F.percentile_approx(value, 0.5, 10000)
-    return window_agg(df, key, ts, size, {"median_value": F.round(med, digits)})
+    if not exact:
+        return window_agg(df, key, ts, size, {"median_value": F.round(
+            F.percentile_approx(value, 0.5, accuracy), digits)})
+    keys = _keys(key)
+    d = df.withColumn("_w", F.window(ts, size))
+    m = exact_median(d, [*keys, "_w"], value, accuracy=accuracy, out="_m")
+    return m.select(*keys, F.col("_w.start").alias("window_start"),
+                    F.col("_w.end").alias("window_end"),
+                    F.round("_m", digits).alias("median_value"))
 
 
 def window_sorted(df, key, ts, size, value, tiebreak=(), keep=()):

@@ -161,3 +161,17 @@ def test_null_keys_and_times_are_kept(spark):
     j = {r["e"] for r in alarms.jump_alarm(df, "k", "ts", "v", 3.0, tiebreak=["e"],
                                            keep=["e"]).collect()}
     assert j == {1, 3}
+
+
+@pytest.mark.parametrize("bracket", [None, (0.9, 0.95), (0.0, 0.1), (0.5, 0.5)])
+def test_exact_median_matches_spark_median(hot, bracket):
+    """Sketch-bracketed median equals Spark's exact median, including when
+    the bracket misses the middle ranks and the fallback path runs."""
+    from eddy.operators.quantiles import exact_median
+    d = hot.withColumn("g", (F.col("e") % 3)).union(
+        hot.limit(0).withColumn("g", F.lit(None).cast("bigint")))
+    d = d.unionByName(d.limit(1).withColumn("v", F.lit(None).cast("double"))
+                      .withColumn("k", F.lit(999).cast("bigint")))
+    want = rows(d.groupBy("k", "g").agg(F.median("v").alias("m")))
+    got = rows(exact_median(d, ["k", "g"], "v", accuracy=50, out="m", bracket=bracket))
+    assert got == want
