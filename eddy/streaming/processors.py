@@ -32,16 +32,16 @@ class RollingState(StatefulProcessor):
         self.state = handle.getValueState("rolling", ROLLING_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values([self.t, self.e], kind="mergesort").reset_index(drop=True)
-        n = len(pdf)
-        if self.state.exists():
-            cnt0, last0, bv0, bt0, be0 = self.state.get()
-        else:
-            cnt0, last0, bv0, bt0, be0 = 0, None, None, None, None
-        v = pdf[self.v].to_numpy(dtype="float64")
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         t = pdf[self.t].to_numpy(dtype="int64")
         e = pdf[self.e].to_numpy(dtype="int64")
+        order = np.lexsort((e, t))
+        t, e = t[order], e[order]
+        v = pdf[self.v].to_numpy(dtype="float64")[order]
+        n = len(t)
+        st = self.state.get()          # one state round trip per key and batch
+        cnt0, last0, bv0, bt0, be0 = st if st is not None else (0, None, None, None, None)
         cnt = cnt0 + np.arange(1, n + 1, dtype="int64")
         prev = np.empty(n, dtype="float64")
         prev[1:] = v[:-1]
@@ -98,15 +98,15 @@ class RiseAlarm(StatefulProcessor):
         return -((-us) // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            [self.t, self.e], kind="mergesort")
-        if self.state.exists():
-            last, has_last, timer = self.state.get()
-        else:
-            last, has_last, timer = (self.floor, self.floor is not None, None)
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        ts = pdf[self.t].to_numpy("int64")
+        order = np.lexsort((pdf[self.e].to_numpy("int64"), ts))
+        st = self.state.get()
+        last, has_last, timer = st if st is not None else (self.floor, self.floor is not None,
+                                                           None)
         fired = []
-        for t, v in zip(pdf[self.t].to_numpy("int64").tolist(),
-                        pdf[self.v].to_numpy("float64").tolist()):
+        for t, v in zip(ts[order].tolist(), pdf[self.v].to_numpy("float64")[order].tolist()):
             if timer is not None and t > timer:
                 fired.append(timer)
                 self.handle.deleteTimer(self._ms(timer))
@@ -124,9 +124,10 @@ class RiseAlarm(StatefulProcessor):
             yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+        st = self.state.get()
+        if st is None:
             return
-        last, has_last, timer = self.state.get()
+        last, has_last, timer = st
         if timer is None:
             return
         self.state.update((last, has_last, None))
