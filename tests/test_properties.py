@@ -56,13 +56,17 @@ def rise_model(seq, interval, floor=None):
     return out
 
 
-@pytest.mark.parametrize("bucket", [None, "7 seconds", "1 minute"])
-def test_rise_alarm_matches_model(hot, bucket):
+@pytest.mark.parametrize("bucket,max_fold", [(None, 100_000), ("7 seconds", 100_000),
+                                             ("1 minute", 100_000), ("30 seconds", 3),
+                                             ("1 minute", 0)])
+def test_rise_alarm_matches_model(hot, bucket, max_fold):
+    """max_fold small forces the pointer-doubling path for long streaks."""
     by_key = {}
     for r in hot.orderBy("us", "e").collect():
         by_key.setdefault(r["k"], []).append((r["us"], r["v"]))
     want = sorted((k, t) for k, s in by_key.items() for t in rise_model(s, 10_000_000))
-    got = alarms.rise_alarm(hot, "k", "ts", "v", "10 seconds", tiebreak=["e"], bucket=bucket)
+    got = alarms.rise_alarm(hot, "k", "ts", "v", "10 seconds", tiebreak=["e"], bucket=bucket,
+                            max_fold=max_fold)
     got = sorted((r["k"], r["us"]) for r in got.select(
         "k", F.unix_micros(F.col("alarm_ts").cast("timestamp")).alias("us")).collect())
     assert got == want
