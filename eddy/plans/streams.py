@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import ntz_from_us
+from ..functions.columns import epoch_us, ntz_from_us
 from ..streaming import twins
 from .batch import (EID, GAP, K, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, SIDES_SQL, THRESHOLD,
                     TS, TUMBLE, UPPER, V, ev)
@@ -138,3 +138,26 @@ def q_stream_rise_alarm(spark, d):
     """A2 with keyed state and event-time timers (watermark delay 0)."""
     return twins.stream_rise_alarm(spark, ev(spark, d).select(EID, K, TS, V), RISE,
                                    chunks=CHUNKS)
+
+
+UNORDERED_DELAY = "12 hours"
+UNORDERED_DELAY_MS = 12 * 3600 * 1000
+JITTER_US = 6 * 3600 * 1_000_000     # arrival lag < watermark delay: nothing is late
+
+
+@register("stream_rolling_max_by_unordered", f"""
+SELECT * FROM ({ORACLE_SQL['rolling_max_by']})
+WHERE event_id IN (
+  SELECT event_id FROM events
+  WHERE epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM events) // 1000
+                         - {UNORDERED_DELAY_MS}) * 1000)""")
+def q_stream_rolling_max_by_unordered(spark, d):
+    """R2 over out-of-order input: rows arrive up to 6 hours late relative to
+    event time (a deterministic lag per event); list state buffers them until
+    the 12-hour watermark passes, then they are applied in event-time order.
+    Oracle: the batch result for rows at or below the final watermark."""
+    e = ev(spark, d).select(EID, K, TS, V)
+    lag = (F.expr("(event_id * 7919) % 10007") * F.lit(JITTER_US // 10007)).cast("bigint")
+    e = e.withColumn("arrival", ntz_from_us(epoch_us(TS) + lag))
+    r = twins.stream_rolling_unordered(spark, e, "arrival", UNORDERED_DELAY, chunks=CHUNKS)
+    return r.select(EID, K, F.col("best_ts").alias(TS), F.col("best_v").alias(V))

@@ -36,41 +36,112 @@ class RollingState(StatefulProcessor):
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         t = pdf[self.t].to_numpy(dtype="int64")
         e = pdf[self.e].to_numpy(dtype="int64")
-        order = np.lexsort((e, t))
-        t, e = t[order], e[order]
-        v = pdf[self.v].to_numpy(dtype="float64")[order]
-        n = len(t)
-        st = self.state.get()          # one state round trip per key and batch
-        cnt0, last0, bv0, bt0, be0 = st if st is not None else (0, None, None, None, None)
-        cnt = cnt0 + np.arange(1, n + 1, dtype="int64")
-        prev = np.empty(n, dtype="float64")
-        prev[1:] = v[:-1]
-        prev[0] = np.nan if last0 is None else last0
-        # running arg-max: a row becomes the best only if strictly greater
-        start = -np.inf if bv0 is None else bv0
-        runmax_before = np.maximum.accumulate(np.concatenate([[start], v]))[:-1]
-        new_best = v > runmax_before
-        idx = np.where(new_best, np.arange(n), -1)
-        idx = np.maximum.accumulate(idx)
-        best_v = np.where(idx >= 0, v[np.maximum(idx, 0)], np.nan if bv0 is None else bv0)
-        best_t = np.where(idx >= 0, t[np.maximum(idx, 0)], -1 if bt0 is None else bt0)
-        last_value = pd.array(prev, dtype="Float64")  # NaN (no previous) -> NULL
-        out = pd.DataFrame({
-            "event_id": e, "user_id": np.full(n, key[0], dtype="int64"), "t_us": t,
-            "value": v, "cnt": cnt, "last_value": last_value,
-            "best_t": best_t, "best_v": best_v})
-        li = int(idx[-1])
-        if li >= 0:
-            nb = (float(v[li]), int(t[li]), int(e[li]))
-        else:
-            nb = (bv0, bt0, be0)
-        self.state.update((int(cnt[-1]), float(v[-1]), *nb))
+        v = pdf[self.v].to_numpy(dtype="float64")
+        out, new_state = roll(key[0], self.state.get(), t, e, v)
+        self.state.update(new_state)
         yield out
 
     def close(self) -> None:
         pass
 
 
+def roll(key, st, t, e, v):
+    """Apply one key's rows (any order; sorted here by time, tie-break) to
+    the rolling state ``st`` (or None). Returns the per-row output frame and
+    the new state: running count, previous value, running arg-max (a row
+    becomes the best only if strictly greater, so the earliest wins ties)."""
+    order = np.lexsort((e, t))
+    t, e, v = t[order], e[order], v[order]
+    n = len(t)
+    cnt0, last0, bv0, bt0, be0 = st if st is not None else (0, None, None, None, None)
+    cnt = cnt0 + np.arange(1, n + 1, dtype="int64")
+    prev = np.empty(n, dtype="float64")
+    prev[1:] = v[:-1]
+    prev[0] = np.nan if last0 is None else last0
+    start = -np.inf if bv0 is None else bv0
+    runmax_before = np.maximum.accumulate(np.concatenate([[start], v]))[:-1]
+    new_best = v > runmax_before
+    idx = np.maximum.accumulate(np.where(new_best, np.arange(n), -1))
+    best_v = np.where(idx >= 0, v[np.maximum(idx, 0)], np.nan if bv0 is None else bv0)
+    best_t = np.where(idx >= 0, t[np.maximum(idx, 0)], -1 if bt0 is None else bt0)
+    out = pd.DataFrame({
+        "event_id": e, "user_id": np.full(n, key, dtype="int64"), "t_us": t,
+        "value": v, "cnt": cnt,
+        "last_value": pd.array(prev, dtype="Float64"),  # NaN (no previous) -> NULL
+        "best_t": best_t, "best_v": best_v})
+    li = int(idx[-1])
+    nb = (float(v[li]), int(t[li]), int(e[li])) if li >= 0 else (bv0, bt0, be0)
+    return out, (int(cnt[-1]), float(v[-1]), *nb)
+
+
+BUFFER_ROW = "t bigint, e bigint, v double"
+
+
+class BufferedRollingState(StatefulProcessor):
+    """``RollingState`` for input that arrives out of event-time order across
+    micro-batches: rows wait in list state and are applied in event-time
+    order once the watermark has passed them (one event-time timer per key,
+    at the oldest waiting row). Rows newer than the final watermark stay
+    buffered, exactly as windows stay open."""
+
+    def __init__(self, t="t_us", value="value", tiebreak="event_id"):
+        self.t, self.v, self.e = t, value, tiebreak
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("rolling", ROLLING_STATE)
+        self.buf = handle.getListState("buffer", BUFFER_ROW)
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    @staticmethod
+    def _ms(us: int) -> int:
+        return -((-us) // 1000)
+
+    def _arm(self, oldest_us: int | None) -> None:
+        cur = self.timer.get()
+        want = None if oldest_us is None else self._ms(oldest_us)
+        if cur is not None and cur[0] != want:
+            self.handle.deleteTimer(cur[0])
+        if want is None:
+            self.timer.clear()
+        elif cur is None or cur[0] != want:
+            self.handle.registerTimer(want)
+            self.timer.update((want,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        t = pdf[self.t].to_numpy("int64")
+        self.buf.appendList(list(zip(t.tolist(), pdf[self.e].to_numpy("int64").tolist(),
+                                     pdf[self.v].to_numpy("float64").tolist())))
+        cur = self.timer.get()
+        oldest = int(t.min())
+        if cur is None or self._ms(oldest) < cur[0]:
+            self._arm(oldest)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = list(self.buf.get())
+        ready = [r for r in rows if r[0] <= wm_us]
+        rest = [r for r in rows if r[0] > wm_us]
+        if rest:
+            self.buf.put(rest)
+        else:
+            self.buf.clear()
+        self.timer.clear()
+        self._arm(min(r[0] for r in rest) if rest else None)
+        if ready:
+            t, e, v = zip(*ready)
+            out, new_state = roll(key[0], self.state.get(), np.array(t, dtype="int64"),
+                                  np.array(e, dtype="int64"), np.array(v, dtype="float64"))
+            self.state.update(new_state)
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
 RISE_STATE = "last double, has_last boolean, timer bigint"
 RISE_OUT = "user_id bigint, alarm_us bigint"
 

@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_time
 from ..operators import joins
 from . import processors
-from .processors import RISE_OUT, ROLLING_OUT, RiseAlarm, RollingState
+from .processors import RISE_OUT, ROLLING_OUT, BufferedRollingState, RiseAlarm, RollingState
 from .runner import ChunkedStream, use_rocksdb_state
 
 # Ship the processors with the job (pickled by value): executors need no
@@ -131,6 +131,27 @@ def stream_rolling(spark, events, key="user_id", ts="ts", value="value",
         "best_ts", ntz_from_us("best_t"))
 
 
+def stream_rolling_unordered(spark, events, arrival: str, delay: str, key="user_id",
+                             ts="ts", value="value", tiebreak="event_id",
+                             chunks=3) -> DataFrame:
+    """R2 + K3 + K5 for input that arrives out of event-time order: chunks
+    are cut by the ``arrival`` column, rows wait in keyed list state until the
+    watermark (max event time - ``delay``) passes them, then are applied in
+    event-time order. Rows after the final watermark are not emitted."""
+    use_rocksdb_state(spark)
+
+    def build(s):
+        s = (_with_ets(s, ts).withWatermark(ETS, delay)
+             .select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
+                     epoch_us(ts).alias("t_us"), F.col(value).alias("value"), ETS))
+        return s.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=BufferedRollingState(), outputStructType=ROLLING_OUT,
+            outputMode="Append", timeMode="EventTime")
+    out = ChunkedStream(spark, "unordered", events, arrival, chunks).run(build)
+    return out.withColumn("ts", ntz_from_us("t_us")).withColumn(
+        "best_ts", ntz_from_us("best_t"))
+
+
 def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
                       value="value", tiebreak="event_id", delay="0 seconds",
                       chunks=3, first_floor=None) -> DataFrame:
@@ -151,4 +172,4 @@ def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
 
 __all__ = ["stream_tumbling_count", "stream_session_count", "stream_tumbling_window_join",
            "stream_interval_join", "stream_cogroup_session", "stream_rolling",
-           "stream_rise_alarm", "duration_us"]
+           "stream_rise_alarm", "stream_rolling_unordered", "duration_us"]
