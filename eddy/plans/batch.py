@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import strictly_above
+from ..functions.columns import alert_text, strictly_above
 from ..operators import alarms, eventtime, joins, partition, rolling, route, transform, windows
 from ..session import scratch_path
 from ..sources import tables, text
@@ -337,12 +337,16 @@ fin AS (
   SELECT user_id, timer FROM (
     SELECT user_id, timer, row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS k
     FROM s) WHERE k = 1 AND timer IS NOT NULL)
-SELECT user_id, make_timestamp(fired) AS alarm_ts FROM s WHERE fired IS NOT NULL
-UNION ALL
-SELECT user_id, make_timestamp(timer) AS alarm_ts FROM fin""")
+SELECT user_id, alarm_ts,
+       'sensor ' || user_id::varchar || ': value rose continuously for {RISE_US // 1_000_000}s'
+         AS message
+FROM (SELECT user_id, make_timestamp(fired) AS alarm_ts FROM s WHERE fired IS NOT NULL
+      UNION ALL
+      SELECT user_id, make_timestamp(timer) AS alarm_ts FROM fin)""")
 def q_rise_alarm(spark, d):
-    """A2: value did not fall for RISE after a rise."""
-    return alarms.rise_alarm(ev(spark, d), K, TS, V, RISE, tiebreak=[EID], bucket=SCAN_BUCKET)
+    """A2: value did not fall for RISE after a rise (+ P11 alert text)."""
+    a = alarms.rise_alarm(ev(spark, d), K, TS, V, RISE, tiebreak=[EID], bucket=SCAN_BUCKET)
+    return a.withColumn("message", alert_text(K, RISE_US // 1_000_000))
 
 
 # ---------------------------------------------------------------- windows

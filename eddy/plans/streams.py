@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import epoch_us, ntz_from_us
+from ..functions.columns import alert_text, epoch_us, ntz_from_us
 from ..streaming import twins
-from .batch import (EID, GAP, K, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, SIDES_SQL, THRESHOLD,
+from .batch import (EID, GAP, K, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, RISE_US, SIDES_SQL, THRESHOLD,
                     TS, TUMBLE, UPPER, V, ev)
 from .catalog import ORACLE_SQL, register
 
@@ -136,8 +136,9 @@ SELECT * FROM ({ORACLE_SQL['rise_alarm']})
 WHERE alarm_ts <= (SELECT max(ts) FROM events)""")
 def q_stream_rise_alarm(spark, d):
     """A2 with keyed state and event-time timers (watermark delay 0)."""
-    return twins.stream_rise_alarm(spark, ev(spark, d).select(EID, K, TS, V), RISE,
-                                   chunks=CHUNKS)
+    a = twins.stream_rise_alarm(spark, ev(spark, d).select(EID, K, TS, V), RISE,
+                                chunks=CHUNKS)
+    return a.withColumn("message", alert_text(K, RISE_US // 1_000_000))
 
 
 UNORDERED_DELAY = "12 hours"
