@@ -20,7 +20,11 @@ def epoch_us(ts, ntz: bool = True) -> Column:
     ``timestamp_ntz`` input (the wall clock is read as UTC)."""
     ts = _c(ts)
     if ntz:
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
+        # NTZ - NTZ is a day-time interval computed without any time zone
+        # (timestamp_diff would go through the session zone and shift local
+        # times that fall into a DST gap)
+        iv = (ts - F.expr(_EPOCH_NTZ)).cast("interval second")
+        return (iv.cast("decimal(24,6)") * F.lit(1_000_000)).cast("bigint")
     return F.unix_micros(ts)
 
 

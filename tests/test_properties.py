@@ -179,3 +179,20 @@ def test_exact_median_matches_spark_median(hot, bracket):
     want = rows(d.groupBy("k", "g").agg(F.median("v").alias("m")))
     got = rows(exact_median(d, ["k", "g"], "v", accuracy=50, out="m", bracket=bracket))
     assert got == want
+
+
+def test_epoch_micros_ignore_session_zone(spark):
+    """Event-time arithmetic on timestamp_ntz does not depend on the session
+    time zone, even for wall-clock times inside a DST gap."""
+    from eddy.functions.columns import epoch_us
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS ts "
+                       "UNION ALL SELECT timestamp_ntz'2024-07-01 12:00:00.123456'")
+        got = sorted(r[0] for r in df.select(epoch_us("ts")).collect())
+        rt = df.select((ntz_from_us(epoch_us("ts")) == F.col("ts")).alias("same")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1710037800000000, 1719835200123456]
+    assert all(r["same"] for r in rt)
