@@ -88,13 +88,32 @@ def window_median(df, key, ts, size, value, exact: bool = True, digits: int = 3,
                     F.round("_m", digits).alias("median_value"))
 
 
-def window_sorted(df, key, ts, size, value, tiebreak=(), keep=()):
-    """The elements of each window in sorted order, as a rank column per
-    element (a window sort spills; a collected array would not)."""
+def window_sorted(df, key, ts, size, value, tiebreak=(), keep=(),
+                  value_bucket: float | None = None):
+    """The elements of each window in sorted order (by value, then time
+    and tie-breaks), as a rank column per element.
+
+    ``value_bucket`` splits a busy window: rows are partitioned by
+    (key, window, value range of that width); the rank is the row number
+    inside the range plus the row count of all lower ranges of the window
+    (a two-level keyed scan over value instead of time). NaN and infinities
+    fall into the outermost ranges, keeping Spark's value order."""
+    from .scan import KeyedOrder, keyed_scan
     keys = _keys(key)
     d = df.withColumn("_w", F.window(ts, size))
-    w = Window.partitionBy(*keys, "_w").orderBy(F.col(value), F.col(ts),
-                                                *[F.col(c) for c in tiebreak])
+    if value_bucket is None:
+        w = Window.partitionBy(*keys, "_w").orderBy(F.col(value), F.col(ts),
+                                                    *[F.col(c) for c in tiebreak])
+        d = d.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    else:
+        scaled = F.col(value) / F.lit(float(value_bucket))
+        vb = F.floor(F.least(F.greatest(scaled, F.lit(-4e18)), F.lit(4e18)))
+        ko = KeyedOrder([*keys, "_w"], value, [ts, *tiebreak], None, vb)
+        d = keyed_scan(
+            d, ko,
+            within={"_wrn": F.row_number().over(ko.ordered())},
+            summary={"_bn": F.count(F.lit(1))},
+            carry={"_pn": lambda k: F.sum("_bn").over(k.buckets_before())},
+            result={"rank": (F.coalesce("_pn", F.lit(0)) + F.col("_wrn")).cast("bigint")})
     return d.select(*keys, F.col("_w.start").alias("window_start"),
-                    F.col("_w.end").alias("window_end"), *keep, value,
-                    F.row_number().over(w).cast("bigint").alias("rank"))
+                    F.col("_w.end").alias("window_end"), *keep, value, "rank")

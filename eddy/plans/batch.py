@@ -29,6 +29,7 @@ TIMER_DELAY = "2 seconds"
 LATE_DELAY = "1 day"
 HISTORY_DEPTH = 5
 SCAN_BUCKET = "1 day"     # time bucket of the two-level keyed scans
+VALUE_BUCKET = 50.0       # value range of the two-level in-window sort
 PARTS = 4                 # parallelism of the reference's partition demo
 LEFT_TYPE, RIGHT_TYPE = "purchase", "error"
 PREFIX = "1"
@@ -418,7 +419,8 @@ SELECT user_id, time_bucket(INTERVAL '{TUMBLE}', ts) AS window_start,
 FROM events""")
 def q_window_sorted(spark, d):
     """W9."""
-    return windows.window_sorted(ev(spark, d), K, TS, TUMBLE, V, tiebreak=[EID], keep=[EID])
+    return windows.window_sorted(ev(spark, d), K, TS, TUMBLE, V, tiebreak=[EID], keep=[EID],
+                                 value_bucket=VALUE_BUCKET)
 
 
 # ---------------------------------------------------------------- joins

@@ -196,3 +196,18 @@ def test_epoch_micros_ignore_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1710037800000000, 1719835200123456]
     assert all(r["same"] for r in rt)
+
+
+@pytest.mark.parametrize("vb", [0.5, 2.0, 1000.0])
+def test_window_sorted_value_buckets(spark, hot, vb):
+    """Value-bucketed in-window ranks equal the plain window sort, with NaN,
+    infinities and NULLs present."""
+    extra = spark.createDataFrame(
+        [(0, 5_000_000, float("nan"), 10_001), (0, 6_000_000, float("inf"), 10_002),
+         (0, 7_000_000, float("-inf"), 10_003), (0, 8_000_000, None, 10_004),
+         (0, 9_000_000, 1e300, 10_005)], "k bigint, us bigint, v double, e bigint")
+    d = hot.select("k", "us", "v", "e").unionByName(extra).withColumn("ts", ntz_from_us("us"))
+    a = windows.window_sorted(d, "k", "ts", "1 minute", "v", tiebreak=["e"], keep=["e"])
+    b = windows.window_sorted(d, "k", "ts", "1 minute", "v", tiebreak=["e"], keep=["e"],
+                              value_bucket=vb)
+    assert rows(a.select("e", "rank")) == rows(b.select("e", "rank"))
