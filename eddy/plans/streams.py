@@ -162,3 +162,19 @@ def q_stream_rolling_max_by_unordered(spark, d):
     e = e.withColumn("arrival", ntz_from_us(epoch_us(TS) + lag))
     r = twins.stream_rolling_unordered(spark, e, "arrival", UNORDERED_DELAY, chunks=CHUNKS)
     return r.select(EID, K, F.col("best_ts").alias(TS), F.col("best_v").alias(V))
+
+
+@register("stream_rise_alarm_unordered", f"""
+SELECT * FROM ({ORACLE_SQL['rise_alarm']})
+WHERE epoch_us(alarm_ts) <= ((SELECT epoch_us(max(ts)) FROM events) // 1000
+                             - {UNORDERED_DELAY_MS}) * 1000""")
+def q_stream_rise_alarm_unordered(spark, d):
+    """A2 over out-of-order input (same 6-hour arrival lag and 12-hour
+    watermark as the unordered rolling twin). Oracle: batch alarms due by the
+    final watermark."""
+    e = ev(spark, d).select(EID, K, TS, V)
+    lag = (F.expr("(event_id * 7919) % 10007") * F.lit(JITTER_US // 10007)).cast("bigint")
+    e = e.withColumn("arrival", ntz_from_us(epoch_us(TS) + lag))
+    a = twins.stream_rise_alarm_unordered(spark, e, "arrival", RISE, UNORDERED_DELAY,
+                                          chunks=CHUNKS)
+    return a.withColumn("message", alert_text(K, RISE_US // 1_000_000))

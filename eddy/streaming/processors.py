@@ -206,3 +206,92 @@ class RiseAlarm(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def rise_step(state, t, v, n_us, fired):
+    """Apply one reading to the rise-alarm state ``(last, has_last, timer)``;
+    a pending timer due strictly before ``t`` fires first (appended to
+    ``fired``). Returns the new state and whether the timer changed."""
+    last, has_last, timer = state
+    if timer is not None and t > timer:
+        fired.append(timer)
+        timer = None
+    if ((not has_last) or v > last) and timer is None:
+        timer = t + n_us
+    elif has_last and v < last and timer is not None:
+        timer = None
+    return (v, True, timer)
+
+
+class BufferedRiseAlarm(StatefulProcessor):
+    """Rise alarm for input that arrives out of event-time order: readings
+    wait in list state until the watermark passes them, are then applied in
+    event-time order, and a pending alarm fires once the watermark reaches
+    its due time (no reading at or before it can arrive any more). One
+    event-time timer per key, at the earliest of the oldest waiting reading
+    and the pending alarm."""
+
+    def __init__(self, interval_us: int, first_floor: float | None = None,
+                 t="t_us", value="value", tiebreak="event_id"):
+        self.n = interval_us
+        self.floor = first_floor
+        self.t, self.v, self.e = t, value, tiebreak
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("rise", RISE_STATE)
+        self.buf = handle.getListState("buffer", BUFFER_ROW)
+        self.wake = handle.getValueState("wake", "ms bigint")
+
+    @staticmethod
+    def _ms(us: int) -> int:
+        return -((-us) // 1000)
+
+    def _arm(self, at_us) -> None:
+        cur = self.wake.get()
+        want = None if at_us is None else self._ms(at_us)
+        if cur is not None and cur[0] != want:
+            self.handle.deleteTimer(cur[0])
+        if want is None:
+            self.wake.clear()
+        elif cur is None or cur[0] != want:
+            self.handle.registerTimer(want)
+            self.wake.update((want,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        t = pdf[self.t].to_numpy("int64")
+        self.buf.appendList(list(zip(t.tolist(), pdf[self.e].to_numpy("int64").tolist(),
+                                     pdf[self.v].to_numpy("float64").tolist())))
+        cur = self.wake.get()
+        oldest = int(t.min())
+        if cur is None or self._ms(oldest) < cur[0]:
+            self._arm(oldest)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = list(self.buf.get())
+        ready = sorted((r for r in rows if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
+        rest = [r for r in rows if r[0] > wm_us]
+        if rest:
+            self.buf.put(rest)
+        else:
+            self.buf.clear()
+        st = self.state.get() or (self.floor, self.floor is not None, None)
+        fired: list[int] = []
+        for t, _, v in ready:
+            st = rise_step(st, t, v, self.n, fired)
+        if st[2] is not None and st[2] <= wm_us:
+            fired.append(st[2])
+            st = (st[0], st[1], None)
+        self.state.update(st)
+        self.wake.clear()
+        cands = [r[0] for r in rest] + ([st[2]] if st[2] is not None else [])
+        self._arm(min(cands) if cands else None)
+        if fired:
+            yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
+
+    def close(self) -> None:
+        pass

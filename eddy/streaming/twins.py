@@ -16,7 +16,8 @@ from pyspark import cloudpickle
 from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_time
 from ..operators import joins
 from . import processors
-from .processors import RISE_OUT, ROLLING_OUT, BufferedRollingState, RiseAlarm, RollingState
+from .processors import (RISE_OUT, ROLLING_OUT, BufferedRiseAlarm, BufferedRollingState,
+                         RiseAlarm, RollingState)
 from .runner import ChunkedStream, use_rocksdb_state
 
 # Ship the processors with the job (pickled by value): executors need no
@@ -170,6 +171,26 @@ def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
     return out.select("user_id", ntz_from_us("alarm_us").alias("alarm_ts"))
 
 
-__all__ = ["stream_tumbling_count", "stream_session_count", "stream_tumbling_window_join",
+def stream_rise_alarm_unordered(spark, events, arrival: str, interval: str, delay: str,
+                                key="user_id", ts="ts", value="value",
+                                tiebreak="event_id", chunks=3,
+                                first_floor=None) -> DataFrame:
+    """A2 for out-of-order input: readings buffered until the watermark,
+    applied in event-time order; alarms due by the final watermark fire."""
+    use_rocksdb_state(spark)
+    n_us = duration_us(interval)
+
+    def build(s):
+        s = (_with_ets(s, ts).withWatermark(ETS, delay)
+             .select(F.col(key).alias("user_id"), epoch_us(ts).alias("t_us"),
+                     F.col(value).alias("value"), F.col(tiebreak).alias("event_id"), ETS))
+        return s.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=BufferedRiseAlarm(n_us, first_floor), outputStructType=RISE_OUT,
+            outputMode="Append", timeMode="EventTime")
+    out = ChunkedStream(spark, "rise-unordered", events, arrival, chunks).run(build)
+    return out.select("user_id", ntz_from_us("alarm_us").alias("alarm_ts"))
+
+
+__all__ = ["stream_rise_alarm_unordered", "stream_tumbling_count", "stream_session_count", "stream_tumbling_window_join",
            "stream_interval_join", "stream_cogroup_session", "stream_rolling",
            "stream_rise_alarm", "stream_rolling_unordered", "duration_us"]
