@@ -2,8 +2,8 @@
 
 Routes are complementary filters over one parent plan. When several routes
 are consumed by one job, Spark reuses the scan (``ReusedExchange``) or the
-caller caches the parent; when they go to different sinks use
-``streaming.runner.split_sink`` (one ``foreachBatch`` writing both)."""
+caller caches the parent; on a stream whose routes go to different sinks use
+``streaming.runner.split_sink`` (one ``foreachBatch`` writing all routes)."""
 
 from __future__ import annotations
 

@@ -178,3 +178,23 @@ def q_stream_rise_alarm_unordered(spark, d):
     a = twins.stream_rise_alarm_unordered(spark, e, "arrival", RISE, UNORDERED_DELAY,
                                           chunks=CHUNKS)
     return a.withColumn("message", alert_text(K, RISE_US // 1_000_000))
+
+
+@register("stream_side_output", f"""
+SELECT 'main' AS stream, event_id, user_id, value FROM events
+WHERE NOT isnan(value) AND value > {THRESHOLD}
+UNION ALL
+SELECT 'side', event_id, user_id, value FROM events
+WHERE NOT (NOT isnan(value) AND value > {THRESHOLD})""")
+def q_stream_side_output(spark, d):
+    """M6 on a stream: main and side outputs of one process function,
+    written by one foreachBatch to two sinks, read back labelled."""
+    from ..functions.columns import strictly_above
+    from ..sources import labelled
+    from ..streaming.runner import split_sink
+    high = F.coalesce(strictly_above(V, THRESHOLD), F.lit(False))
+    outs = split_sink(spark, "side", ev(spark, d).select(EID, K, TS, V), TS,
+                      lambda s: s.select(EID, K, V), {"main": high, "side": ~high},
+                      chunks=CHUNKS)
+    return labelled(outs["main"].select(EID, K, V), "main").unionByName(
+        labelled(outs["side"].select(EID, K, V), "side"))

@@ -120,3 +120,48 @@ class ChunkedStream:
                     print("eddy-stream", self.name, p["batchId"], p["numInputRows"],
                           p["durationMs"], file=sys.stderr)
         return self.spark.read.schema(out_schema).parquet(sink)
+
+
+def split_sink(spark: SparkSession, name: str, table: DataFrame, ts: str,
+               build: Callable[[DataFrame], DataFrame], routes: dict,
+               chunks: int = 3) -> dict[str, DataFrame]:
+    """Side outputs on a stream (M6): one ``foreachBatch`` writes every route
+    of a micro-batch (``routes``: name -> predicate Column, rows where it is
+    NULL go nowhere) to its own parquet folder. Each batch writes into
+    ``<route>/batch=<id>`` with overwrite, so a batch re-run after a failure
+    replaces its own output instead of duplicating it. The batch is cached
+    once and read by all routes. Returns name -> batch DataFrame."""
+    root = scratch_path(spark, name)
+    src, ckpt = f"{root}/source", f"{root}/checkpoint"
+    outs = {r: f"{root}/{r}" for r in routes}
+    schema = table.schema
+    out_schema = None
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            for r, pred in routes.items():
+                (batch_df.filter(pred).write.mode("overwrite")
+                 .parquet(f"{outs[r]}/batch={batch_id}"))
+        finally:
+            batch_df.unpersist()
+
+    cs = ChunkedStream(spark, name, table, ts, chunks, no_data="never")
+    cuts = cs._bounds()
+    edges = [None, *cuts, None]
+    us = epoch_us(ts)
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (us >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (us < F.lit(hi))
+        table.filter(cond).write.mode("append").parquet(src)
+        out = build(spark.readStream.schema(schema).parquet(src))
+        out_schema = out.schema
+        q = (out.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return {r: spark.read.schema(out_schema).parquet(p) for r, p in outs.items()}
