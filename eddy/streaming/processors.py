@@ -1,5 +1,10 @@
-"""Stateful processors for ``transformWithStateInPandas`` (keyed state and
-event-time timers), the streaming forms of R2, K3, K5 and A2.
+"""Keyed-state stream operators, the streaming forms of R2, K3, K5 and A2.
+
+* ordered input (micro-batches in event-time order): group functions for
+  ``applyInPandasWithState`` -- the key's state travels with its rows in the
+  Arrow batch, and the rise alarm uses the group's event-time timeout;
+* out-of-order input: processors for ``transformWithStateInPandas`` that
+  buffer rows in list state until the watermark passes them.
 
 Inside one micro-batch a key's rows are sorted by (event time, tie-break)
 and processed with vectorised numpy where the update is a scan (count,
@@ -20,31 +25,6 @@ ROLLING_OUT = ("event_id bigint, user_id bigint, t_us bigint, value double, cnt
                "last_value double, best_t bigint, best_v double")
 
 
-class RollingState(StatefulProcessor):
-    """One value state per key serving three per-event operators:
-    running count (K3), previous value (K5) and running arg-max (R2, the
-    earliest record wins on ties)."""
-
-    def __init__(self, key="user_id", t="t_us", value="value", tiebreak="event_id"):
-        self.key, self.t, self.v, self.e = key, t, value, tiebreak
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("rolling", ROLLING_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        t = pdf[self.t].to_numpy(dtype="int64")
-        e = pdf[self.e].to_numpy(dtype="int64")
-        v = pdf[self.v].to_numpy(dtype="float64")
-        out, new_state = roll(key[0], self.state.get(), t, e, v)
-        self.state.update(new_state)
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
 def roll(key, st, t, e, v):
     """Apply one key's rows (any order; sorted here by time, tie-break) to
     the rolling state ``st`` (or None). Returns the per-row output frame and
@@ -146,68 +126,6 @@ RISE_STATE = "last double, has_last boolean, timer bigint"
 RISE_OUT = "user_id bigint, alarm_us bigint"
 
 
-class RiseAlarm(StatefulProcessor):
-    """Continuous-rise alarm (A2) with event-time timers.
-
-    State: last value and the pending timer (epoch microseconds; the timer
-    service works in milliseconds, so the registered timer is rounded up).
-    Before a row is applied, a pending timer due strictly before the row's
-    time fires; at the watermark, ``handleExpiredTimer`` fires the rest."""
-
-    def __init__(self, interval_us: int, first_floor: float | None = None,
-                 t="t_us", value="value", tiebreak="event_id"):
-        self.n = interval_us
-        self.floor = first_floor
-        self.t, self.v, self.e = t, value, tiebreak
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("rise", RISE_STATE)
-
-    @staticmethod
-    def _ms(us: int) -> int:
-        return -((-us) // 1000)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        ts = pdf[self.t].to_numpy("int64")
-        order = np.lexsort((pdf[self.e].to_numpy("int64"), ts))
-        st = self.state.get()
-        last, has_last, timer = st if st is not None else (self.floor, self.floor is not None,
-                                                           None)
-        fired = []
-        for t, v in zip(ts[order].tolist(), pdf[self.v].to_numpy("float64")[order].tolist()):
-            if timer is not None and t > timer:
-                fired.append(timer)
-                self.handle.deleteTimer(self._ms(timer))
-                timer = None
-            rise = (not has_last) or v > last
-            if rise and timer is None:
-                timer = t + self.n
-                self.handle.registerTimer(self._ms(timer))
-            elif has_last and v < last and timer is not None:
-                self.handle.deleteTimer(self._ms(timer))
-                timer = None
-            last, has_last = v, True
-        self.state.update((last, has_last, timer))
-        if fired:
-            yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        st = self.state.get()
-        if st is None:
-            return
-        last, has_last, timer = st
-        if timer is None:
-            return
-        self.state.update((last, has_last, None))
-        yield pd.DataFrame({"user_id": [key[0]], "alarm_us": [timer]})
-
-    def close(self) -> None:
-        pass
-
-
 def rise_step(state, t, v, n_us, fired):
     """Apply one reading to the rise-alarm state ``(last, has_last, timer)``;
     a pending timer due strictly before ``t`` fires first (appended to
@@ -295,3 +213,42 @@ class BufferedRiseAlarm(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def rolling_group(key, pdfs, state):
+    """``applyInPandasWithState`` function for R2 + K3 + K5 (ordered input):
+    the key's rows of this micro-batch are applied in (time, tie-break)
+    order to its rolling state."""
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    out, new_state = roll(key[0], state.get if state.exists else None,
+                          pdf["t_us"].to_numpy("int64"), pdf["event_id"].to_numpy("int64"),
+                          pdf["value"].to_numpy("float64"))
+    state.update(new_state)
+    yield out
+
+
+def rise_group(interval_us: int, first_floor: float | None = None):
+    """``applyInPandasWithState`` function for the rise alarm (ordered input)
+    with an event-time timeout at the pending alarm's due time."""
+    def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            last, has_last, timer = state.get
+            state.update((last, has_last, None))
+            if timer is not None:
+                yield pd.DataFrame({"user_id": [key[0]], "alarm_us": [timer]})
+            return
+        parts = list(pdfs)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        ts = pdf["t_us"].to_numpy("int64")
+        order = np.lexsort((pdf["event_id"].to_numpy("int64"), ts))
+        st = state.get if state.exists else (first_floor, first_floor is not None, None)
+        fired: list[int] = []
+        for t, v in zip(ts[order].tolist(), pdf["value"].to_numpy("float64")[order].tolist()):
+            st = rise_step(st, t, v, interval_us, fired)
+        state.update(st)
+        if st[2] is not None:
+            state.setTimeoutTimestamp(-((-st[2]) // 1000))
+        if fired:
+            yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
+    return fn

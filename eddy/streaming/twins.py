@@ -16,8 +16,10 @@ from pyspark import cloudpickle
 from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_time
 from ..operators import joins
 from . import processors
-from .processors import (RISE_OUT, ROLLING_OUT, BufferedRiseAlarm, BufferedRollingState,
-                         RiseAlarm, RollingState)
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from .processors import (RISE_OUT, RISE_STATE, ROLLING_OUT, ROLLING_STATE, BufferedRiseAlarm,
+                         BufferedRollingState, rise_group, rolling_group)
 from .runner import ChunkedStream, use_rocksdb_state
 
 # Ship the processors with the job (pickled by value): executors need no
@@ -117,16 +119,15 @@ def stream_cogroup_session(spark, events, key, gap, value, tiebreak, left_pred,
 
 def stream_rolling(spark, events, key="user_id", ts="ts", value="value",
                    tiebreak="event_id", chunks=3) -> DataFrame:
-    """R2 + K3 + K5 as one keyed value state (``transformWithStateInPandas``).
+    """R2 + K3 + K5 as one keyed value state (``applyInPandasWithState``).
     Output per input row: count so far, previous value, running arg-max."""
     use_rocksdb_state(spark)
 
     def build(s):
         s = s.select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
                      epoch_us(ts).alias("t_us"), F.col(value).alias("value"))
-        return s.groupBy("user_id").transformWithStateInPandas(
-            statefulProcessor=RollingState(), outputStructType=ROLLING_OUT,
-            outputMode="Append", timeMode="None")
+        return s.groupBy("user_id").applyInPandasWithState(
+            rolling_group, ROLLING_OUT, ROLLING_STATE, "append", GroupStateTimeout.NoTimeout)
     out = ChunkedStream(spark, "rolling", events, ts, chunks, no_data="never").run(build)
     return out.withColumn("ts", ntz_from_us("t_us")).withColumn(
         "best_ts", ntz_from_us("best_t"))
@@ -156,7 +157,8 @@ def stream_rolling_unordered(spark, events, arrival: str, delay: str, key="user_
 def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
                       value="value", tiebreak="event_id", delay="0 seconds",
                       chunks=3, first_floor=None) -> DataFrame:
-    """A2 on a stream with event-time timers (``timeMode='EventTime'``)."""
+    """A2 on a stream: keyed state with an event-time timeout at the pending
+    alarm's due time (``applyInPandasWithState``)."""
     use_rocksdb_state(spark)
     n_us = duration_us(interval)
 
@@ -164,9 +166,9 @@ def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
         s = (_with_ets(s, ts).withWatermark(ETS, delay)
              .select(F.col(key).alias("user_id"), epoch_us(ts).alias("t_us"),
                      F.col(value).alias("value"), F.col(tiebreak).alias("event_id"), ETS))
-        return s.groupBy("user_id").transformWithStateInPandas(
-            statefulProcessor=RiseAlarm(n_us, first_floor), outputStructType=RISE_OUT,
-            outputMode="Append", timeMode="EventTime")
+        return s.groupBy("user_id").applyInPandasWithState(
+            rise_group(n_us, first_floor), RISE_OUT, RISE_STATE, "append",
+            GroupStateTimeout.EventTimeTimeout)
     out = ChunkedStream(spark, "rise", events, ts, chunks).run(build)
     return out.select("user_id", ntz_from_us("alarm_us").alias("alarm_ts"))
 
