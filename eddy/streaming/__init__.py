@@ -1 +1 @@
-from .runner import ChunkedStream, stream_source_schema  # noqa: F401
+from .runner import ChunkedStream, split_sink  # noqa: F401

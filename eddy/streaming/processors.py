@@ -58,7 +58,7 @@ BUFFER_ROW = "t bigint, e bigint, v double"
 
 
 class BufferedRollingState(StatefulProcessor):
-    """``RollingState`` for input that arrives out of event-time order across
+    """Rolling state (as ``rolling_group``) for input that arrives out of event-time order across
     micro-batches: rows wait in list state and are applied in event-time
     order once the watermark has passed them (one event-time timer per key,
     at the oldest waiting row). Rows newer than the final watermark stay

@@ -21,7 +21,6 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import epoch_us
 from ..session import scratch_path
@@ -45,10 +44,6 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(cl, "true")
 
 
-def stream_source_schema(df: DataFrame) -> T.StructType:
-    return df.schema
-
-
 @dataclass
 class ChunkedStream:
     """Stage ``table`` into a stream source folder in ``chunks`` event-time
@@ -82,14 +77,13 @@ class ChunkedStream:
         fr = self.splits or [i / self.chunks for i in range(1, self.chunks)]
         return [lo + int((hi - lo) * f) for f in fr]
 
-    def run(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        root = scratch_path(self.spark, self.name)
-        src, ckpt, sink = f"{root}/source", f"{root}/checkpoint", f"{root}/sink"
+    def staged(self, src: str):
+        """Append each event-time chunk of the table to the source folder
+        ``src``; yields ``(streaming DataFrame over src, is_last_chunk)``
+        after each append."""
         schema = self.table.schema
-        cuts = self._bounds()
-        edges = [None, *cuts, None]
+        edges = [None, *self._bounds(), None]
         us = epoch_us(self.ts)
-        out_schema = None
         for lo, hi in zip(edges[:-1], edges[1:]):
             cond = F.lit(True)
             if lo is not None:
@@ -97,28 +91,34 @@ class ChunkedStream:
             if hi is not None:
                 cond = cond & (us < F.lit(hi))
             self.table.filter(cond).write.mode("append").parquet(src)
-            stream = self.spark.readStream.schema(schema).parquet(src)
+            yield self.spark.readStream.schema(schema).parquet(src), hi is None
+
+    def _start(self, writer, last: bool):
+        want = {"always": True, "never": False, "last": last}[self.no_data]
+        before = self.spark.conf.get(NO_DATA, "true")
+        # the query copies the session conf when it starts
+        self.spark.conf.set(NO_DATA, "true" if want else "false")
+        try:
+            q = writer.trigger(availableNow=True).start()
+        finally:
+            self.spark.conf.set(NO_DATA, before)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        if os.environ.get("EDDY_STREAM_DEBUG"):
+            for p in q.recentProgress:
+                print("eddy-stream", self.name, p["batchId"], p["numInputRows"],
+                      p["durationMs"], file=sys.stderr)
+
+    def run(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        root = scratch_path(self.spark, self.name)
+        ckpt, sink = f"{root}/checkpoint", f"{root}/sink"
+        out_schema = None
+        for stream, last in self.staged(f"{root}/source"):
             out = build(stream)
             out_schema = out.schema
-            last = hi is None
-            want = {"always": True, "never": False, "last": last}[self.no_data]
-            before = self.spark.conf.get(NO_DATA, "true")
-            # the query copies the session conf when it starts
-            self.spark.conf.set(NO_DATA, "true" if want else "false")
-            try:
-                q = (out.writeStream.format("parquet")
-                     .option("path", sink).option("checkpointLocation", ckpt)
-                     .outputMode(self.output_mode)
-                     .trigger(availableNow=True).start())
-            finally:
-                self.spark.conf.set(NO_DATA, before)
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
-            if os.environ.get("EDDY_STREAM_DEBUG"):
-                for p in q.recentProgress:
-                    print("eddy-stream", self.name, p["batchId"], p["numInputRows"],
-                          p["durationMs"], file=sys.stderr)
+            self._start(out.writeStream.format("parquet").option("path", sink)
+                        .option("checkpointLocation", ckpt).outputMode(self.output_mode), last)
         return self.spark.read.schema(out_schema).parquet(sink)
 
 
@@ -134,7 +134,6 @@ def split_sink(spark: SparkSession, name: str, table: DataFrame, ts: str,
     root = scratch_path(spark, name)
     src, ckpt = f"{root}/source", f"{root}/checkpoint"
     outs = {r: f"{root}/{r}" for r in routes}
-    schema = table.schema
     out_schema = None
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -147,21 +146,8 @@ def split_sink(spark: SparkSession, name: str, table: DataFrame, ts: str,
             batch_df.unpersist()
 
     cs = ChunkedStream(spark, name, table, ts, chunks, no_data="never")
-    cuts = cs._bounds()
-    edges = [None, *cuts, None]
-    us = epoch_us(ts)
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (us >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (us < F.lit(hi))
-        table.filter(cond).write.mode("append").parquet(src)
-        out = build(spark.readStream.schema(schema).parquet(src))
+    for stream, last in cs.staged(src):
+        out = build(stream)
         out_schema = out.schema
-        q = (out.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        cs._start(out.writeStream.foreachBatch(write).option("checkpointLocation", ckpt), last)
     return {r: spark.read.schema(out_schema).parquet(p) for r, p in outs.items()}
