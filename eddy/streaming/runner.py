@@ -29,6 +29,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+SHUFFLE = "spark.sql.shuffle.partitions"
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -57,6 +58,12 @@ class ChunkedStream:
              enough for watermark-closed windows and timers, since the next
              chunk's batch closes them otherwise) or "never" (operators that
              emit eagerly: joins, per-row state)
+    state_partitions: partitions of the stream's shuffles and state stores,
+             fixed by the checkpoint at the first start. Default: one per core
+             of the cluster (``defaultParallelism``), capped by the session's
+             ``spark.sql.shuffle.partitions`` -- every micro-batch opens and
+             commits one state store per partition, so 200 partitions on a
+             few cores cost more than they bring.
     """
     spark: SparkSession
     name: str
@@ -66,6 +73,7 @@ class ChunkedStream:
     splits: list[float] | None = None
     output_mode: str = "append"
     no_data: str = "last"
+    state_partitions: int | None = None
 
     def _bounds(self) -> list[int]:
         # one small aggregate (two numbers) to place the cuts
@@ -93,15 +101,26 @@ class ChunkedStream:
             self.table.filter(cond).write.mode("append").parquet(src)
             yield self.spark.readStream.schema(schema).parquet(src), hi is None
 
+    def _partitions(self) -> int:
+        if self.state_partitions:
+            return self.state_partitions
+        session = int(self.spark.conf.get(SHUFFLE, "200"))
+        return max(1, min(session, self.spark.sparkContext.defaultParallelism))
+
     def _start(self, writer, last: bool):
         want = {"always": True, "never": False, "last": last}[self.no_data]
-        before = self.spark.conf.get(NO_DATA, "true")
-        # the query copies the session conf when it starts
+        saved = {k: self.spark.conf.get(k, None) for k in (NO_DATA, SHUFFLE)}
+        # the query copies the session conf when it starts; restore after
         self.spark.conf.set(NO_DATA, "true" if want else "false")
+        self.spark.conf.set(SHUFFLE, str(self._partitions()))
         try:
             q = writer.trigger(availableNow=True).start()
         finally:
-            self.spark.conf.set(NO_DATA, before)
+            for k, v in saved.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
