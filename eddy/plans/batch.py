@@ -17,7 +17,7 @@ from ..functions.columns import alert_text, strictly_above
 from ..operators import alarms, eventtime, joins, partition, rolling, route, transform, windows
 from ..session import scratch_path
 from ..sources import tables, text
-from .catalog import register
+from .catalog import ORACLE_SQL, register
 
 THRESHOLD = 100.0
 TUMBLE = "1 day"
@@ -567,3 +567,42 @@ def q_ingest_stamp(spark, d):
     """E5 (rows-only: the stamp is wall-clock time)."""
     return eventtime.ingest_stamp(ev(spark, d).select(EID, K, TS))
 
+
+
+# ---------------------------------------------------------------- user functions
+def _reduce_max(acc, new):
+    """The reference's ReduceFunction: newest timestamp, largest value."""
+    return (new[0], max(acc[1], new[1]))
+
+
+@register("rolling_reduce_udf", f"""
+SELECT event_id, user_id, ts, max(value) OVER ({RUN}) AS value FROM events""")
+def q_rolling_reduce_udf(spark, d):
+    """R3 written as a user reduce function (Python), evaluated by the
+    two-level keyed scan."""
+    from ..operators.udf import keyed_reduce
+    e = ev(spark, d).select(EID, K, TS, V)
+    return keyed_reduce(e, K, TS, [TS, V], _reduce_max, tiebreak=[EID], bucket=SCAN_BUCKET,
+                        keep=[EID])
+
+
+def _cogroup_text(lp, rp):
+    """The reference's CoGroupFunction: both sides' items as one text block."""
+    import pandas as pd
+    k = lp["user_id"].iloc[0] if len(lp) else rp["user_id"].iloc[0]
+    def block(title, p):
+        return title + "".join(f"{a}=>{b}\n" for a, b in zip(p["user_id"], p["v"]))
+    return pd.DataFrame({"user_id": [k], "session_start": [min(
+        list(lp["ts"]) + list(rp["ts"]))], "n_left": [len(lp)], "n_right": [len(rp)],
+        "text": [block("input stream 1: \n", lp) + block("input stream 2: \n", rp)]})
+
+
+@register("cogroup_session_udf", """
+SELECT user_id, session_start, n_left, n_right, text FROM (""" + ORACLE_SQL["cogroup_session"] + ")")
+def q_cogroup_session_udf(spark, d):
+    """U8: J3 written as a user CoGroupFunction (pandas) per (key, session)."""
+    from ..operators.udf import cogroup_apply
+    l, r = _sides(spark, d)
+    return cogroup_apply(l.drop("event_type"), r.drop("event_type"), K, TS, GAP, _cogroup_text,
+                         "user_id bigint, session_start timestamp_ntz, n_left bigint, "
+                         "n_right bigint, text string", tiebreak=EID, bucket=SCAN_BUCKET)

@@ -211,3 +211,23 @@ def test_window_sorted_value_buckets(spark, hot, vb):
     b = windows.window_sorted(d, "k", "ts", "1 minute", "v", tiebreak=["e"], keep=["e"],
                               value_bucket=vb)
     assert rows(a.select("e", "rank")) == rows(b.select("e", "rank"))
+
+
+def _sum_count_max(acc, new):
+    return (acc[0] + new[0], acc[1] + new[1], max(acc[2], new[2]))
+
+
+@pytest.mark.parametrize("bucket", ["20 seconds", "10 minutes", None])
+def test_keyed_reduce_matches_sequential_fold(hot, bucket):
+    from eddy.operators.udf import keyed_reduce
+    d = hot.withColumn("one", F.lit(1).cast("bigint")).withColumn("m", F.col("v"))
+    got = keyed_reduce(d, "k", "ts", ["v", "one", "m"], _sum_count_max, tiebreak=["e"],
+                       bucket=bucket, keep=["e"], partitions=5)
+    want, acc_by_key = [], {}
+    for r in d.orderBy("k", "us", "e").collect():
+        acc = acc_by_key.get(r["k"])
+        new = (r["v"], 1, r["v"])
+        acc = new if acc is None else _sum_count_max(acc, new)
+        acc_by_key[r["k"]] = acc
+        want.append((r["e"], r["k"], acc[0], acc[1], acc[2]))
+    assert rows(got.select("e", "k", "v", "one", "m")) == sorted(want)
