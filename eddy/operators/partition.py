@@ -62,3 +62,8 @@ def tag_partition_index(df: DataFrame, key: str, out: str = "part") -> DataFrame
         return pd.DataFrame({key: b[key], out: ctx["partition"]})
     sch = f"{key} {df.schema[key].dataType.simpleString()}, {out} bigint"
     return map_partitions_with_lifecycle(df.select(key), sch, fn)
+
+
+# Functions of this module run inside Spark tasks: ship them by value so
+# executors need no copy of this package on their Python path.
+__import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

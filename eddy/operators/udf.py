@@ -140,3 +140,8 @@ def cogroup_apply(left: DataFrame, right: DataFrame, key: str, ts: str, gap: str
                   pdf[side == 2].drop(columns=["_side", "session_id"]))
 
     return u.groupBy(key, "session_id").applyInPandas(run, schema)
+
+
+# Functions of this module run inside Spark tasks: ship them by value so
+# executors need no copy of this package on their Python path.
+__import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

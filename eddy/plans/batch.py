@@ -606,3 +606,8 @@ def q_cogroup_session_udf(spark, d):
     return cogroup_apply(l.drop("event_type"), r.drop("event_type"), K, TS, GAP, _cogroup_text,
                          "user_id bigint, session_start timestamp_ntz, n_left bigint, "
                          "n_right bigint, text string", tiebreak=EID, bucket=SCAN_BUCKET)
+
+
+# Functions of this module run inside Spark tasks: ship them by value so
+# executors need no copy of this package on their Python path.
+__import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

@@ -252,3 +252,8 @@ def rise_group(interval_us: int, first_floor: float | None = None):
         if fired:
             yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
     return fn
+
+
+# Functions of this module run inside Spark tasks: ship them by value so
+# executors need no copy of this package on their Python path.
+__import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

@@ -11,21 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark import cloudpickle
-
 from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_time
 from ..operators import joins
-from . import processors
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .processors import (RISE_OUT, RISE_STATE, ROLLING_OUT, ROLLING_STATE, BufferedRiseAlarm,
                          BufferedRollingState, rise_group, rolling_group)
 from .runner import ChunkedStream, use_rocksdb_state
 
-# Ship the processors with the job (pickled by value): executors need no
-# copy of this package on their Python path.
-cloudpickle.register_pickle_by_value(processors)
-
 ETS = "ets"
 
 

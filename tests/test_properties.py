@@ -213,13 +213,13 @@ def test_window_sorted_value_buckets(spark, hot, vb):
     assert rows(a.select("e", "rank")) == rows(b.select("e", "rank"))
 
 
-def _sum_count_max(acc, new):
-    return (acc[0] + new[0], acc[1] + new[1], max(acc[2], new[2]))
-
-
 @pytest.mark.parametrize("bucket", ["20 seconds", "10 minutes", None])
 def test_keyed_reduce_matches_sequential_fold(hot, bucket):
     from eddy.operators.udf import keyed_reduce
+
+    def _sum_count_max(acc, new):   # nested: pickled by value for the workers
+        return (acc[0] + new[0], acc[1] + new[1], max(acc[2], new[2]))
+
     d = hot.withColumn("one", F.lit(1).cast("bigint")).withColumn("m", F.col("v"))
     got = keyed_reduce(d, "k", "ts", ["v", "one", "m"], _sum_count_max, tiebreak=["e"],
                        bucket=bucket, keep=["e"], partitions=5)
