@@ -120,26 +120,52 @@ def keyed_reduce(df: DataFrame, key, ts: str, fields: list[str],
     return j.drop(KEY).mapInPandas(combine, out_schema)
 
 
+def _groups_sorted(batches, group_cols, handle):
+    """Call ``handle(rows)`` once per group of an iterator of pandas batches
+    sorted by ``group_cols`` (a group may span batches; only the current
+    group's rows are held)."""
+    pending = None
+    for b in batches:
+        if len(b) == 0:
+            continue
+        if pending is not None:
+            b = pd.concat([pending, b], ignore_index=True)
+        keys = b[group_cols]
+        change = (keys != keys.shift()).any(axis=1).to_numpy()
+        starts = [i for i in range(len(b)) if change[i]] + [len(b)]
+        outs = [handle(b.iloc[s:e]) for s, e in zip(starts[:-2], starts[1:-1])]
+        pending = b.iloc[starts[-2]:]
+        if outs:
+            yield pd.concat(outs, ignore_index=True)
+    if pending is not None and len(pending):
+        yield handle(pending)
+
+
 def cogroup_apply(left: DataFrame, right: DataFrame, key: str, ts: str, gap: str,
                   fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, *,
-                  tiebreak: str, bucket="1 hour") -> DataFrame:
+                  tiebreak: str, bucket="1 hour", partitions: int | None = None) -> DataFrame:
     """U8: a user CoGroupFunction over session windows: ``fn(left_rows,
     right_rows)`` (pandas, both sorted by time, either may be empty) is called
-    once per (key, session) formed from both sides' events together. The
-    tagged union is grouped once by (key, session) and split by side inside
-    the group."""
+    once per (key, session) formed from both sides' events together.
+
+    The tagged union is hash-partitioned by (key, session) and sorted inside
+    each partition; ``mapInPandas`` walks the sorted rows and calls ``fn`` per
+    group, holding one session at a time (no per-group task overhead)."""
+    from ..session import default_parallelism
     from .joins import session_ids
+    n = partitions or default_parallelism(left.sparkSession)
     u = session_ids(left.withColumn("_side", F.lit(1)).unionByName(
         right.withColumn("_side", F.lit(2)), allowMissingColumns=True),
         key, ts, gap, [tiebreak], bucket)
+    grp = [key, "session_id"]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([ts, tiebreak], kind="mergesort")
-        side = pdf["_side"]
-        return fn(pdf[side == 1].drop(columns=["_side", "session_id"]),
-                  pdf[side == 2].drop(columns=["_side", "session_id"]))
+    def handle(g: pd.DataFrame) -> pd.DataFrame:
+        side = g["_side"]
+        return fn(g[side == 1].drop(columns=["_side", "session_id"]),
+                  g[side == 2].drop(columns=["_side", "session_id"]))
 
-    return u.groupBy(key, "session_id").applyInPandas(run, schema)
+    return (u.repartition(n, *grp).sortWithinPartitions(*grp, ts, tiebreak)
+            .mapInPandas(lambda it: _groups_sorted(it, grp, handle), schema))
 
 
 # Functions of this module run inside Spark tasks: ship them by value so
