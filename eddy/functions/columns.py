@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .fixed import COGROUP_ITEM_SEP, JOIN_TEXT_SEP
+
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -81,7 +83,7 @@ def abs_diff_at_least(a, b, threshold: float) -> Column:
     return (~F.isnan(a)) & (~F.isnan(b)) & (F.abs(a - b) >= F.lit(threshold))
 
 
-def concat_pair(left, right, sep: str = " ") -> Column:
+def concat_pair(left, right, sep: str = JOIN_TEXT_SEP) -> Column:
     """Join-function output: left value, separator, right value."""
     return F.concat_ws(sep, _c(left), _c(right))
 
@@ -91,7 +93,7 @@ def order_struct(*cols) -> Column:
     return F.struct(*[_c(c) for c in cols])
 
 
-def fold_block(header: str, items, key_sep: str = "=>") -> Column:
+def fold_block(header: str, items, key_sep: str = COGROUP_ITEM_SEP) -> Column:
     """Render ``header`` then one ``k=>v`` line per item of an array of
     ``struct(k, v)`` (already ordered), every line ending in a newline."""
     lines = F.transform(_c(items), lambda x: F.concat(

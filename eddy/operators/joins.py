@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import concat_pair, duration_us, epoch_us, fold_block
+from ..functions.fixed import COGROUP_HEADER_LEFT, COGROUP_HEADER_RIGHT
 from .scan import KeyedOrder, previous_value, running_sum
 
 
@@ -82,8 +83,8 @@ def _tagged_union(left, right, keys, ts, tiebreak, value):
 
 
 def _blocks(items_l, items_r):
-    return F.concat(fold_block("input stream 1: \n", items_l),
-                    fold_block("input stream 2: \n", items_r))
+    return F.concat(fold_block(COGROUP_HEADER_LEFT, items_l),
+                    fold_block(COGROUP_HEADER_RIGHT, items_r))
 
 
 def cogroup_session(left: DataFrame, right: DataFrame, key, ts: str, gap: str,

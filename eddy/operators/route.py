@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import strictly_above
+from ..functions.fixed import MSG_HIGH, MSG_LOW, TAG_HIGH, TAG_LOW
 
-HIGH, LOW = "high", "low"
+HIGH, LOW = TAG_HIGH, TAG_LOW
 
 
 def split_tags(df: DataFrame, value: str, threshold: float,
@@ -32,8 +33,8 @@ def select_tags(tagged: DataFrame, *tags: str, tag: str = "tag") -> DataFrame:
 
 
 def connect_comap(high: DataFrame, low: DataFrame, key: str, value: str,
-                  high_msg: str = "high temp warning",
-                  low_msg: str = "normal") -> DataFrame:
+                  high_msg: str = MSG_HIGH,
+                  low_msg: str = MSG_LOW) -> DataFrame:
     """Connect two differently shaped streams and map each side (M4):
     high -> (key, value, high_msg), low -> (key, NULL, low_msg)."""
     a = high.select(F.col(key), F.col(value).cast("double").alias(value),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import alert_text, strictly_above
+from ..functions.fixed import COGROUP_HEADER_LEFT, COGROUP_HEADER_RIGHT, COGROUP_ITEM_SEP
 from ..operators import alarms, eventtime, joins, partition, rolling, route, transform, windows
 from ..session import scratch_path
 from ..sources import tables, text
@@ -591,10 +592,11 @@ def _cogroup_text(lp, rp):
     import pandas as pd
     k = lp["user_id"].iloc[0] if len(lp) else rp["user_id"].iloc[0]
     def block(title, p):
-        return title + "".join(f"{a}=>{b}\n" for a, b in zip(p["user_id"], p["v"]))
+        return title + "".join(f"{a}{COGROUP_ITEM_SEP}{b}\n"
+                               for a, b in zip(p["user_id"], p["v"]))
     return pd.DataFrame({"user_id": [k], "session_start": [min(
         list(lp["ts"]) + list(rp["ts"]))], "n_left": [len(lp)], "n_right": [len(rp)],
-        "text": [block("input stream 1: \n", lp) + block("input stream 2: \n", rp)]})
+        "text": [block(COGROUP_HEADER_LEFT, lp) + block(COGROUP_HEADER_RIGHT, rp)]})
 
 
 @register("cogroup_session_udf", """
