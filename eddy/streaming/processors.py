@@ -3,8 +3,10 @@
 * ordered input (micro-batches in event-time order): group functions for
   ``applyInPandasWithState`` -- the key's state travels with its rows in the
   Arrow batch, and the rise alarm uses the group's event-time timeout;
-* out-of-order input: processors for ``transformWithStateInPandas`` that
-  buffer rows in list state until the watermark passes them.
+* out-of-order input: rows wait until the watermark passes them, then are
+  applied in event-time order -- kept next to the rolling values in the
+  group state (``buffered_rolling_group``), or in list state of a
+  ``transformWithStateInPandas`` processor (``BufferedRiseAlarm``).
 
 Inside one micro-batch a key's rows are sorted by (event time, tie-break)
 and processed with vectorised numpy where the update is a scan (count,
@@ -57,71 +59,6 @@ def roll(key, st, t, e, v):
 BUFFER_ROW = "t bigint, e bigint, v double"
 
 
-class BufferedRollingState(StatefulProcessor):
-    """Rolling state (as ``rolling_group``) for input that arrives out of event-time order across
-    micro-batches: rows wait in list state and are applied in event-time
-    order once the watermark has passed them (one event-time timer per key,
-    at the oldest waiting row). Rows newer than the final watermark stay
-    buffered, exactly as windows stay open."""
-
-    def __init__(self, t="t_us", value="value", tiebreak="event_id"):
-        self.t, self.v, self.e = t, value, tiebreak
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("rolling", ROLLING_STATE)
-        self.buf = handle.getListState("buffer", BUFFER_ROW)
-        self.timer = handle.getValueState("timer", "ms bigint")
-
-    @staticmethod
-    def _ms(us: int) -> int:
-        return -((-us) // 1000)
-
-    def _arm(self, oldest_us: int | None) -> None:
-        cur = self.timer.get()
-        want = None if oldest_us is None else self._ms(oldest_us)
-        if cur is not None and cur[0] != want:
-            self.handle.deleteTimer(cur[0])
-        if want is None:
-            self.timer.clear()
-        elif cur is None or cur[0] != want:
-            self.handle.registerTimer(want)
-            self.timer.update((want,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        t = pdf[self.t].to_numpy("int64")
-        self.buf.appendList(list(zip(t.tolist(), pdf[self.e].to_numpy("int64").tolist(),
-                                     pdf[self.v].to_numpy("float64").tolist())))
-        cur = self.timer.get()
-        oldest = int(t.min())
-        if cur is None or self._ms(oldest) < cur[0]:
-            self._arm(oldest)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = list(self.buf.get())
-        ready = [r for r in rows if r[0] <= wm_us]
-        rest = [r for r in rows if r[0] > wm_us]
-        if rest:
-            self.buf.put(rest)
-        else:
-            self.buf.clear()
-        self.timer.clear()
-        self._arm(min(r[0] for r in rest) if rest else None)
-        if ready:
-            t, e, v = zip(*ready)
-            out, new_state = roll(key[0], self.state.get(), np.array(t, dtype="int64"),
-                                  np.array(e, dtype="int64"), np.array(v, dtype="float64"))
-            self.state.update(new_state)
-            yield out
-
-    def close(self) -> None:
-        pass
-
-
 RISE_STATE = "last double, has_last boolean, timer bigint"
 RISE_OUT = "user_id bigint, alarm_us bigint"
 
@@ -254,6 +191,43 @@ def rise_group(interval_us: int, first_floor: float | None = None):
     return fn
 
 
+BUFFERED_ROLLING_STATE = (ROLLING_STATE + ", buf_t array<bigint>, buf_e array<bigint>, "
+                          "buf_v array<double>")
+
+
+def buffered_rolling_group(key, pdfs, state):
+    """``applyInPandasWithState`` function for R2 + K3 + K5 over out-of-order
+    input: the key's waiting rows (newer than the watermark) are kept in its
+    state next to the rolling values; each call adds the new rows, applies
+    every waiting row at or below the watermark in event-time order and sets
+    an event-time timeout at the oldest row still waiting."""
+    wm_us = state.getCurrentWatermarkMs() * 1000
+    if state.exists:
+        cnt, last, bv, bt, be, buf_t, buf_e, buf_v = state.get
+        rolling = (cnt, last, bv, bt, be) if cnt else None
+        t = list(buf_t or []); e = list(buf_e or []); v = list(buf_v or [])
+    else:
+        rolling, t, e, v = None, [], [], []
+    if not state.hasTimedOut:
+        for pdf in pdfs:
+            t += pdf["t_us"].astype("int64").tolist()
+            e += pdf["event_id"].astype("int64").tolist()
+            v += pdf["value"].astype("float64").tolist()
+    ta, ea, va = (np.array(t, dtype="int64"), np.array(e, dtype="int64"),
+                  np.array(v, dtype="float64"))
+    ready = ta <= wm_us
+    out = None
+    if ready.any():
+        out, rolling = roll(key[0], rolling, ta[ready], ea[ready], va[ready])
+    keep = ~ready
+    r = rolling if rolling is not None else (0, None, None, None, None)
+    state.update((*r, ta[keep].tolist(), ea[keep].tolist(), va[keep].tolist()))
+    if keep.any():
+        state.setTimeoutTimestamp(-((-int(ta[keep].min())) // 1000))
+    if out is not None:
+        yield out
+
+
 # Functions of this module run inside Spark tasks: ship them by value so
 # executors need no copy of this package on their Python path.
 __import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

@@ -15,8 +15,9 @@ from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_tim
 from ..operators import joins
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from .processors import (RISE_OUT, RISE_STATE, ROLLING_OUT, ROLLING_STATE, BufferedRiseAlarm,
-                         BufferedRollingState, rise_group, rolling_group)
+from .processors import (BUFFERED_ROLLING_STATE, RISE_OUT, RISE_STATE, ROLLING_OUT,
+                         ROLLING_STATE, BufferedRiseAlarm, buffered_rolling_group, rise_group,
+                         rolling_group)
 from .runner import ChunkedStream, use_rocksdb_state
 
 ETS = "ets"
@@ -139,9 +140,9 @@ def stream_rolling_unordered(spark, events, arrival: str, delay: str, key="user_
         s = (_with_ets(s, ts).withWatermark(ETS, delay)
              .select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
                      epoch_us(ts).alias("t_us"), F.col(value).alias("value"), ETS))
-        return s.groupBy("user_id").transformWithStateInPandas(
-            statefulProcessor=BufferedRollingState(), outputStructType=ROLLING_OUT,
-            outputMode="Append", timeMode="EventTime")
+        return s.groupBy("user_id").applyInPandasWithState(
+            buffered_rolling_group, ROLLING_OUT, BUFFERED_ROLLING_STATE, "append",
+            GroupStateTimeout.EventTimeTimeout)
     out = ChunkedStream(spark, "unordered", events, arrival, chunks).run(build)
     return out.withColumn("ts", ntz_from_us("t_us")).withColumn(
         "best_ts", ntz_from_us("best_t"))
