@@ -3,10 +3,9 @@
 * ordered input (micro-batches in event-time order): group functions for
   ``applyInPandasWithState`` -- the key's state travels with its rows in the
   Arrow batch, and the rise alarm uses the group's event-time timeout;
-* out-of-order input: rows wait until the watermark passes them, then are
-  applied in event-time order -- kept next to the rolling values in the
-  group state (``buffered_rolling_group``), or in list state of a
-  ``transformWithStateInPandas`` processor (``BufferedRiseAlarm``).
+* out-of-order input: rows wait in the group state until the watermark
+  passes them, then are applied in event-time order
+  (``buffered_rolling_group``, ``buffered_rise_group``).
 
 Inside one micro-batch a key's rows are sorted by (event time, tie-break)
 and processed with vectorised numpy where the update is a scan (count,
@@ -20,7 +19,6 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 ROLLING_STATE = ("cnt bigint, last double, best_v double, best_t bigint, best_e bigint")
 ROLLING_OUT = ("event_id bigint, user_id bigint, t_us bigint, value double, cnt bigint, "
@@ -56,9 +54,6 @@ def roll(key, st, t, e, v):
     return out, (int(cnt[-1]), float(v[-1]), *nb)
 
 
-BUFFER_ROW = "t bigint, e bigint, v double"
-
-
 RISE_STATE = "last double, has_last boolean, timer bigint"
 RISE_OUT = "user_id bigint, alarm_us bigint"
 
@@ -78,80 +73,6 @@ def rise_step(state, t, v, n_us, fired):
     return (v, True, timer)
 
 
-class BufferedRiseAlarm(StatefulProcessor):
-    """Rise alarm for input that arrives out of event-time order: readings
-    wait in list state until the watermark passes them, are then applied in
-    event-time order, and a pending alarm fires once the watermark reaches
-    its due time (no reading at or before it can arrive any more). One
-    event-time timer per key, at the earliest of the oldest waiting reading
-    and the pending alarm."""
-
-    def __init__(self, interval_us: int, first_floor: float | None = None,
-                 t="t_us", value="value", tiebreak="event_id"):
-        self.n = interval_us
-        self.floor = first_floor
-        self.t, self.v, self.e = t, value, tiebreak
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("rise", RISE_STATE)
-        self.buf = handle.getListState("buffer", BUFFER_ROW)
-        self.wake = handle.getValueState("wake", "ms bigint")
-
-    @staticmethod
-    def _ms(us: int) -> int:
-        return -((-us) // 1000)
-
-    def _arm(self, at_us) -> None:
-        cur = self.wake.get()
-        want = None if at_us is None else self._ms(at_us)
-        if cur is not None and cur[0] != want:
-            self.handle.deleteTimer(cur[0])
-        if want is None:
-            self.wake.clear()
-        elif cur is None or cur[0] != want:
-            self.handle.registerTimer(want)
-            self.wake.update((want,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        t = pdf[self.t].to_numpy("int64")
-        self.buf.appendList(list(zip(t.tolist(), pdf[self.e].to_numpy("int64").tolist(),
-                                     pdf[self.v].to_numpy("float64").tolist())))
-        cur = self.wake.get()
-        oldest = int(t.min())
-        if cur is None or self._ms(oldest) < cur[0]:
-            self._arm(oldest)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = list(self.buf.get())
-        ready = sorted((r for r in rows if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
-        rest = [r for r in rows if r[0] > wm_us]
-        if rest:
-            self.buf.put(rest)
-        else:
-            self.buf.clear()
-        st = self.state.get() or (self.floor, self.floor is not None, None)
-        fired: list[int] = []
-        for t, _, v in ready:
-            st = rise_step(st, t, v, self.n, fired)
-        if st[2] is not None and st[2] <= wm_us:
-            fired.append(st[2])
-            st = (st[0], st[1], None)
-        self.state.update(st)
-        self.wake.clear()
-        cands = [r[0] for r in rest] + ([st[2]] if st[2] is not None else [])
-        self._arm(min(cands) if cands else None)
-        if fired:
-            yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
-
-    def close(self) -> None:
-        pass
-
-
 def rolling_group(key, pdfs, state):
     """``applyInPandasWithState`` function for R2 + K3 + K5 (ordered input):
     the key's rows of this micro-batch are applied in (time, tie-break)
@@ -228,6 +149,51 @@ def buffered_rolling_group(key, pdfs, state):
         yield out
 
 
+BUFFERED_RISE_STATE = (RISE_STATE + ", buf_t array<bigint>, buf_e array<bigint>, "
+                       "buf_v array<double>")
+
+
+def buffered_rise_group(interval_us: int, first_floor: float | None = None):
+    """``applyInPandasWithState`` function for the rise alarm over
+    out-of-order input: waiting readings live in the group state; readings at
+    or below the watermark are applied in event-time order, a pending alarm
+    fires once the watermark reaches its due time, and the event-time timeout
+    is set at the earlier of the oldest waiting reading and the pending alarm."""
+    def fn(key, pdfs, state):
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        if state.exists:
+            last, has_last, timer, buf_t, buf_e, buf_v = state.get
+            t = list(buf_t or []); e = list(buf_e or []); v = list(buf_v or [])
+        else:
+            last, has_last, timer = first_floor, first_floor is not None, None
+            t, e, v = [], [], []
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                t += pdf["t_us"].astype("int64").tolist()
+                e += pdf["event_id"].astype("int64").tolist()
+                v += pdf["value"].astype("float64").tolist()
+        ta, ea, va = (np.array(t, dtype="int64"), np.array(e, dtype="int64"),
+                      np.array(v, dtype="float64"))
+        ready = ta <= wm_us
+        order = np.lexsort((ea[ready], ta[ready]))
+        st, fired = (last, has_last, timer), []
+        for tt, vv in zip(ta[ready][order].tolist(), va[ready][order].tolist()):
+            st = rise_step(st, tt, vv, interval_us, fired)
+        if st[2] is not None and st[2] <= wm_us:
+            fired.append(st[2])
+            st = (st[0], st[1], None)
+        keep = ~ready
+        state.update((*st, ta[keep].tolist(), ea[keep].tolist(), va[keep].tolist()))
+        wake = [int(ta[keep].min())] if keep.any() else []
+        if st[2] is not None:
+            wake.append(st[2])
+        if wake:
+            state.setTimeoutTimestamp(-((-min(wake)) // 1000))
+        if fired:
+            yield pd.DataFrame({"user_id": [key[0]] * len(fired), "alarm_us": fired})
+    return fn
+
+
 # Functions of this module run inside Spark tasks: ship them by value so
 # executors need no copy of this package on their Python path.
 __import__("pyspark").cloudpickle.register_pickle_by_value(__import__("sys").modules[__name__])

@@ -32,17 +32,8 @@ NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 SHUFFLE = "spark.sql.shuffle.partitions"
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """``transformWithState`` needs the RocksDB state store (it also keeps
-    large state off the JVM heap). Read at query start, then pinned by the
-    checkpoint. Changelog checkpointing uploads only the changes of each
-    batch instead of new snapshot files."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, "") != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
-    cl = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
-    if spark.conf.get(cl, None) is None:
-        spark.conf.set(cl, "true")
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 @dataclass
@@ -64,6 +55,9 @@ class ChunkedStream:
              ``spark.sql.shuffle.partitions`` -- every micro-batch opens and
              commits one state store per partition, so 200 partitions on a
              few cores cost more than they bring.
+    state_store: state store provider for the stream (default RocksDB: large
+             state stays off the JVM heap; changelog checkpointing uploads only
+             each batch's changes). ``None`` keeps the session's provider.
     """
     spark: SparkSession
     name: str
@@ -74,6 +68,7 @@ class ChunkedStream:
     output_mode: str = "append"
     no_data: str = "last"
     state_partitions: int | None = None
+    state_store: str | None = ROCKSDB
 
     def _bounds(self) -> list[int]:
         # one small aggregate (two numbers) to place the cuts
@@ -109,10 +104,15 @@ class ChunkedStream:
 
     def _start(self, writer, last: bool):
         want = {"always": True, "never": False, "last": last}[self.no_data]
-        saved = {k: self.spark.conf.get(k, None) for k in (NO_DATA, SHUFFLE)}
+        settings = {NO_DATA: "true" if want else "false", SHUFFLE: str(self._partitions())}
+        if self.state_store:
+            settings[PROVIDER] = self.state_store
+            if self.state_store == ROCKSDB:
+                settings[CHANGELOG] = "true"
+        saved = {k: self.spark.conf.get(k, None) for k in settings}
         # the query copies the session conf when it starts; restore after
-        self.spark.conf.set(NO_DATA, "true" if want else "false")
-        self.spark.conf.set(SHUFFLE, str(self._partitions()))
+        for k, v in settings.items():
+            self.spark.conf.set(k, v)
         try:
             q = writer.trigger(availableNow=True).start()
         finally:

@@ -15,10 +15,10 @@ from ..functions.columns import duration_us, epoch_us, ntz_from_us, to_event_tim
 from ..operators import joins
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from .processors import (BUFFERED_ROLLING_STATE, RISE_OUT, RISE_STATE, ROLLING_OUT,
-                         ROLLING_STATE, BufferedRiseAlarm, buffered_rolling_group, rise_group,
-                         rolling_group)
-from .runner import ChunkedStream, use_rocksdb_state
+from .processors import (BUFFERED_RISE_STATE, BUFFERED_ROLLING_STATE, RISE_OUT, RISE_STATE,
+                         ROLLING_OUT, ROLLING_STATE, buffered_rise_group,
+                         buffered_rolling_group, rise_group, rolling_group)
+from .runner import ChunkedStream
 
 ETS = "ets"
 
@@ -115,7 +115,6 @@ def stream_rolling(spark, events, key="user_id", ts="ts", value="value",
                    tiebreak="event_id", chunks=3) -> DataFrame:
     """R2 + K3 + K5 as one keyed value state (``applyInPandasWithState``).
     Output per input row: count so far, previous value, running arg-max."""
-    use_rocksdb_state(spark)
 
     def build(s):
         s = s.select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
@@ -134,7 +133,6 @@ def stream_rolling_unordered(spark, events, arrival: str, delay: str, key="user_
     are cut by the ``arrival`` column, rows wait in keyed list state until the
     watermark (max event time - ``delay``) passes them, then are applied in
     event-time order. Rows after the final watermark are not emitted."""
-    use_rocksdb_state(spark)
 
     def build(s):
         s = (_with_ets(s, ts).withWatermark(ETS, delay)
@@ -153,7 +151,6 @@ def stream_rise_alarm(spark, events, interval: str, key="user_id", ts="ts",
                       chunks=3, first_floor=None) -> DataFrame:
     """A2 on a stream: keyed state with an event-time timeout at the pending
     alarm's due time (``applyInPandasWithState``)."""
-    use_rocksdb_state(spark)
     n_us = duration_us(interval)
 
     def build(s):
@@ -173,16 +170,15 @@ def stream_rise_alarm_unordered(spark, events, arrival: str, interval: str, dela
                                 first_floor=None) -> DataFrame:
     """A2 for out-of-order input: readings buffered until the watermark,
     applied in event-time order; alarms due by the final watermark fire."""
-    use_rocksdb_state(spark)
     n_us = duration_us(interval)
 
     def build(s):
         s = (_with_ets(s, ts).withWatermark(ETS, delay)
              .select(F.col(key).alias("user_id"), epoch_us(ts).alias("t_us"),
                      F.col(value).alias("value"), F.col(tiebreak).alias("event_id"), ETS))
-        return s.groupBy("user_id").transformWithStateInPandas(
-            statefulProcessor=BufferedRiseAlarm(n_us, first_floor), outputStructType=RISE_OUT,
-            outputMode="Append", timeMode="EventTime")
+        return s.groupBy("user_id").applyInPandasWithState(
+            buffered_rise_group(n_us, first_floor), RISE_OUT, BUFFERED_RISE_STATE, "append",
+            GroupStateTimeout.EventTimeTimeout)
     out = ChunkedStream(spark, "rise-unordered", events, arrival, chunks).run(build)
     return out.select("user_id", ntz_from_us("alarm_us").alias("alarm_ts"))
 

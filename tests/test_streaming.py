@@ -9,7 +9,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stream_run_leaves_session_conf_alone(spark):
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.noDataMicroBatches.enabled"]
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.noDataMicroBatches.enabled",
+            "spark.sql.streaming.stateStore.providerClass"]
     before = {k: spark.conf.get(k, None) for k in keys}
     twins.stream_tumbling_count(spark, events(spark, SF), "user_id", "1 day", "2 seconds",
                                 chunks=2).count()
