@@ -3,7 +3,7 @@ SQL can express the result. Every query reads its whole tables."""
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, packing
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -25,3 +25,19 @@ def table(spark, sf_dir, name):
 @register("op3_exact_dedup", exact_dedup.ORACLE)
 def op3(spark, d):
     return exact_dedup.exact_dedup(table(spark, d, "documents"))
+
+
+@register("op9_fair_mix", mixing.ORACLE)
+def op9(spark, d):
+    return mixing.mix_sizes(table(spark, d, "documents"))
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer of the packing contract."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op10_best_fit_packing")
+def op10(spark, d):
+    return packing.best_fit_pack(table(spark, d, "documents"), tokenizer_path())
