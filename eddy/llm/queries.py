@@ -3,7 +3,7 @@ SQL can express the result. Every query reads its whole tables."""
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, langid, mixing, packing, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -41,3 +41,13 @@ def tokenizer_path() -> str:
 @register("op10_best_fit_packing")
 def op10(spark, d):
     return packing.best_fit_pack(table(spark, d, "documents"), tokenizer_path())
+
+
+@register("op2_language_id")
+def op2(spark, d):
+    return langid.predict_language(table(spark, d, "documents"))
+
+
+@register("op7_url_filter")
+def op7(spark, d):
+    return url_filter.judge_urls(table(spark, d, "pages"))
