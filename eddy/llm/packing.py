@@ -15,7 +15,8 @@ pieces are packed into as few sequences of ``capacity`` tokens as can be found:
   nothing better was found.
 
 Scale: tokenising is the work; every task encodes each distinct word once and
-joins ids as bytes, holding at most ``CACHE_WORDS`` words. Pieces are rows of a
+joins ids as bytes; the word table lives in the Python worker and is emptied
+beyond ``CACHE_WORDS`` words. Pieces are rows of a
 few numbers. They are dealt by hash into groups of about ``group_rows`` pieces
 and each group is packed by itself, which costs at most one half-full sequence
 per group (under 0.1 % of the sequences at the default). No piece is dropped
@@ -29,6 +30,9 @@ gives no rows. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -45,34 +49,92 @@ GROUP_ROWS = 32768
 #: completions that the search of one group may try
 NODES = 20_000
 #: distinct words whose ids a task keeps
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: bytes that part words for the word cache; the tokenizer's own pattern never
 #: joins across white space, so words can be encoded one by one
 PART = (" ", "\t", "\n", "\r")
 
 
+#: a word of letters with punctuation behind it: two pre-tokens of the tokenizer
+PLAIN = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+#: letter words that are encoded in one call
+RUN = 512
+
+
+def kept_in_worker(name: str, make):
+    """An object that lives as long as the Python worker: later tasks of the
+    same worker go on with it (it only saves time)."""
+    import types
+    home = sys.modules.setdefault("_eddy_worker_cache", types.ModuleType("_eddy_worker_cache"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, from the ids
-    of their words."""
+    of their words. A word of letters followed by punctuation is looked up by
+    its lower-cased letters and its punctuation, which the tokenizer parts
+    anyway; any other word is encoded as it is."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.ids: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def words(self, text: str) -> list[str]:
         for p in PART[1:]:
             text = text.replace(p, " ")
         return text.split(" ")
 
+    def each(self, words: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
+    def learn_letters(self, words: list[str]) -> None:
+        for at in range(0, len(words), RUN):
+            part = words[at:at + RUN]
+            ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            if len(stop) == len(part):
+                data, pos = ids.tobytes(), [0, *(4 * stop).tolist()]
+                self.letters.update(zip(part, (data[x:y] for x, y in zip(pos, pos[1:]))))
+            else:
+                self.letters.update(zip(part, self.each(part)))
+
+    @staticmethod
+    def plain(word: str):
+        """``(letters, punctuation)``, or None. Sigma is left out (its lower
+        case depends on the place), and so is what composition would change."""
+        m = PLAIN.fullmatch(word)
+        if m is None or not m[1].isalpha() or not (word.isascii() or (unicodedata.is_normalized("NFC", word) and "\u03a3" not in word)):
+            return None
+        return m[1].lower(), m[2]
+
+    def learn(self, words: list[str]) -> None:
+        split = {w: self.plain(w) for w in words}
+        need = {x for parts in split.values() if parts for x in parts if x}
+        need -= self.letters.keys()
+        self.learn_letters([x for x in need if x.isalpha()])
+        marks = [x for x in need if not x.isalpha()]
+        self.letters.update(zip(marks, self.each(marks)))
+        self.letters[""] = b""
+        odd = [w for w, parts in split.items() if parts is None]
+        self.ids.update(zip(odd, self.each(odd)))
+        get = self.letters.__getitem__
+        self.ids.update((w, get(x[0]) + get(x[1])) for w, x in split.items() if x)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
+        if len(self.letters) > CACHE_WORDS:
+            self.letters.clear()
         split = [self.words(t) for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.ids})
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[w] = np.asarray(e.ids, "<u4").tobytes()
+        self.learn(list({w for ws in split for w in ws} - self.ids.keys()))
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
@@ -96,7 +158,7 @@ def cut_pieces(path, capacity, end_id):
     def run(batches):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        enc = WordEncoder(path)
+        enc = kept_in_worker("words_" + path, lambda: WordEncoder(path))
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
             row, piece, start, length, crc = [], [], [], [], []
