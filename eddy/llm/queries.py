@@ -3,7 +3,9 @@ SQL can express the result. Every query reads its whole tables."""
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, mixing, packing, url_filter
+from pyspark.sql import functions as F
+
+from . import exact_dedup, langid, mixing, ngram_jaccard, packing, secrets, topk, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -51,3 +53,13 @@ def op2(spark, d):
 @register("op7_url_filter")
 def op7(spark, d):
     return url_filter.judge_urls(table(spark, d, "pages"))
+
+
+@register("op5_secret_scan")
+def op5(spark, d):
+    return secrets.scan_secrets(table(spark, d, "documents"))
+
+
+@register("op1_ngram_jaccard")
+def op1(spark, d):
+    return ngram_jaccard.jaccard_components(table(spark, d, "documents"))
