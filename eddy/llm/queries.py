@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, ngram_jaccard, packing, secrets, topk, url_filter
+from . import exact_dedup, langid, mixing, ngram_jaccard, packing, secrets, suffix_dedup, topk, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -68,3 +68,8 @@ def op1(spark, d):
 @register("op4_exact_topk", topk.ORACLE)
 def op4(spark, d):
     return topk.top_inner_products(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op6_suffix_dedup")
+def op6(spark, d):
+    return suffix_dedup.remove_repeats(table(spark, d, "documents"))
