@@ -347,6 +347,12 @@ def pack_group(capacity, nodes):
     return run
 
 
+def contract_tokenizer() -> str:
+    """Path of the public tokenizer of the packing contract."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def token_pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int = END_ID,
                  id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, ngram_jaccard, packing, secrets, suffix_dedup, topk, url_filter
+import corpus_pipeline
+
+from . import exact_dedup, langid, lm_score, mixing, ngram_jaccard, packing, secrets, suffix_dedup, topk, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -34,15 +36,9 @@ def op9(spark, d):
     return mixing.mix_sizes(table(spark, d, "documents"))
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer of the packing contract."""
-    import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @register("op10_best_fit_packing")
 def op10(spark, d):
-    return packing.best_fit_pack(table(spark, d, "documents"), tokenizer_path())
+    return packing.best_fit_pack(table(spark, d, "documents"), packing.contract_tokenizer())
 
 
 @register("op2_language_id")
@@ -73,3 +69,14 @@ def op4(spark, d):
 @register("op6_suffix_dedup")
 def op6(spark, d):
     return suffix_dedup.remove_repeats(table(spark, d, "documents"))
+
+
+@register("op8_stupid_backoff", lm_score.ORACLE)
+def op8(spark, d):
+    s = lm_score.stupid_backoff(table(spark, d, "documents"))
+    return s.withColumn("score", F.round("score", 6))
+
+
+@register("pipeline")
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
