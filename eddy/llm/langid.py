@@ -49,6 +49,8 @@ CLASSES = 64
 #: code space: 1-, 2- and 3-grams of classes
 SPACE = CLASSES + CLASSES ** 2 + CLASSES ** 3
 BATCH = 128
+#: languages up to which the sampling limits are broadcast instead of shuffled
+MAX_BROADCAST = 10_000
 CHUNK = 1 << 20
 
 
@@ -101,6 +103,8 @@ def training_rows(docs: DataFrame, id_col, text_col, lang_col, max_train, table)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     limits = (small.withColumn("r", rank).where(F.col("r") <= each)
               .groupBy("lang").agg(F.max("h").alias("most")))
+    if n_langs <= MAX_BROADCAST:  # one row of a label and a number per language
+        limits = F.broadcast(limits)
     picked = rows.join(limits, "lang").where(F.col("h") <= F.col("most")).select("lang", "h", "text")
     shared = spark.sparkContext.broadcast(table)
 

@@ -46,7 +46,7 @@ RULES = (
 #: suffixes of two labels that are registered under
 DOUBLE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
 MAX_BAD = 0.5
-Z = 1.0
+Z = 2.0
 #: prior strength where the rates give none, and its limits
 STRENGTH, LEAST, MOST = 2.0, 0.1, 1000.0
 
