@@ -199,6 +199,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, *, k: int = K, scal
 
     def search(q, c):
         """Every block of queries against every block of ``c``."""
+        q = q.select(*[F.col(x).alias(x) for x in q.columns])  # both sides stem from one table
         return q.groupBy("qb", "block").cogroup(c.groupBy("qb", "block")).applyInPandas(run, out)
 
     def each_query_block(c):
@@ -215,8 +216,8 @@ def top_inner_products(vectors: DataFrame, is_query: Column, *, k: int = K, scal
 
 
 ORACLE = """
-WITH e AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
       FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
