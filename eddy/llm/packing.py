@@ -117,8 +117,7 @@ class WordEncoder:
 
     def learn(self, words: list[str]) -> None:
         split = {w: self.plain(w) for w in words}
-        need = {x for parts in split.values() if parts for x in parts if x}
-        need -= self.letters.keys()
+        need = {x for parts in split.values() if parts for x in parts if x and x not in self.letters}
         self.learn_letters([x for x in need if x.isalpha()])
         marks = [x for x in need if not x.isalpha()]
         self.letters.update(zip(marks, self.each(marks)))
@@ -134,7 +133,7 @@ class WordEncoder:
         if len(self.letters) > CACHE_WORDS:
             self.letters.clear()
         split = [self.words(t) for t in texts]
-        self.learn(list({w for ws in split for w in ws} - self.ids.keys()))
+        self.learn([w for w in {w for ws in split for w in ws} if w not in self.ids])
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
