@@ -46,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder")
         import tempfile
