@@ -46,6 +46,8 @@ K = 20
 SCALE = 64
 #: local cosine threshold from which coordinates are pruned, and how many
 COORD_FROM, COORDS = 0.6, 4
+#: stands for a NULL id inside tasks: the largest long, last in ties
+NO_ID = (1 << 63) - 1
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
@@ -55,7 +57,7 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> Dat
         F.col(vec_col).cast("array<double>"),
         lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False)))
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
-    return (df.where(ok).select(F.col(id_col).cast("long").alias("id"), x.alias("v"), "is_query")
+    return (df.where(ok).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), x.alias("v"), "is_query")
             .withColumn("norm2", norm2))
 
 
@@ -81,11 +83,6 @@ def products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
     return q @ p.T
 
 
-def id_order(ids: pd.Series) -> np.ndarray:
-    """Sortable ids: NULL last."""
-    return ids.fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-
-
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores, ties to the smaller id."""
     if len(scores) > 4 * k:
@@ -99,7 +96,7 @@ def search_bucket(queries: pd.DataFrame, bucket: pd.DataFrame, k: int, coord_fro
     """Best k of one bucket for each query: arrays of query id, id, score."""
     norm = np.sqrt(bucket["norm2"].to_numpy(float))
     order = np.argsort(-norm, kind="stable")
-    norm, ids = norm[order], id_order(bucket["id"])[order]
+    norm, ids = norm[order], bucket["id"].to_numpy(np.int64)[order]
     p = matrix(bucket["v"].tolist())[order]
     q = matrix(queries["v"].tolist())
     qid = queries["id"].to_numpy(np.int64)
@@ -156,9 +153,8 @@ def search_bucket(queries: pd.DataFrame, bucket: pd.DataFrame, k: int, coord_fro
 def cogrouped(k, coord_from, coords):
     def run(queries, bucket):
         if not len(queries) or not len(bucket):
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="Int64"), "score": pd.Series([], dtype="int64")})
+            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="int64")})
         a, b, c = search_bucket(queries, bucket, k, coord_from, coords)
-        b = pd.Series(b, dtype="Int64").mask(b == np.iinfo(np.int64).max)
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
     return run
 
@@ -171,7 +167,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, *, k: int = K, scal
     spark = vectors.sparkSession
     kept = vectors.select(id_col, vec_col, F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = stored(integer_vectors(kept, id_col, vec_col, scale), "vectors")
-    queries = rows.where("is_query and id is not null").dropDuplicates(["id"])
+    queries = rows.where(f"is_query and id != {NO_ID}").dropDuplicates(["id"])
 
     n = rows.count()
     if not n:
@@ -211,8 +207,9 @@ def top_inner_products(vectors: DataFrame, is_query: Column, *, k: int = K, scal
               .select(F.col("query_id").alias("id"), F.col("least").cast("double").alias("floor")))
     asked = asked.join(floors, "id", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(total - 1))))
     found = search(asked.select("id", "v", "norm2", "qb", "block", "floor"), each_query_block(blocks))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last()))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    top = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return top.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")
 
 
 ORACLE = """
