@@ -9,6 +9,7 @@ import sys
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -95,6 +96,23 @@ def test_jaccard_components(spark, rows, n, num, den, bits, per_class):
     assert sorted([tuple(r)[:3] for r in got.collect()], key=order) == sorted(want, key=order)
 
 
+def test_jaccard_sketch_counts():
+    """Counters above one byte travel beside the others; tasks add up."""
+    import pyarrow as pa
+    texts = ["a b c " * 200, "a b c", "d e f g", ""]
+    parts = []
+    for chunk in (texts, texts[:2], []):
+        for out in ngram_jaccard.sketch_counts(3, 10)([pa.RecordBatch.from_arrays([pa.array(chunk, pa.string())], names=["text"])]):
+            parts.append(out.to_pandas())
+    got = pd.concat(parts).groupby("slice", sort=True)[["slice", "counts", "high", "high_counts"]].apply(ngram_jaccard.summed_slices)
+    rank = np.concatenate([np.frombuffer(c, np.uint8) for c in got["counts"]])
+    sh, want = ngram_jaccard.Shingler(3), np.zeros(1 << 10, np.int64)
+    for t in texts + texts[:2]:
+        np.add.at(want, (sh.grams(t.encode()) >> np.uint64(54)).astype(np.int64), 1)
+    assert want.max() > 255 and got["grams"].sum() == want.sum()
+    assert (rank == ngram_jaccard.scale(want).astype(np.uint8)).all()
+
+
 def test_jaccard_signatures_find_every_link():
     """Sets at and just above the threshold share a signature with enough room."""
     rng = np.random.default_rng(3)
