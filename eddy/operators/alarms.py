@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import abs_diff_at_least, duration_us, epoch_us, ntz_from_us
+from ..functions.columns import abs_diff_at_least, duration_us, epoch_us, ntz_from_us, strictly_above
 from ..session import ensure_checkpoint_dir
 from .scan import KEY, KeyedOrder, previous_value, running_sum, strip
 
@@ -62,16 +62,22 @@ def rise_alarm(df: DataFrame, key, ts: str, value: str, interval: str, *,
     the built-in ``aggregate`` function; longer ones follow the chain by
     pointer doubling (``_chain_by_doubling``), so no group is ever gathered
     beyond ``max_fold`` values. Output ``(key, alarm_ts)``.
+
+    NaN is neither a rise nor a fall, as a value or as the value before it
+    (the first row of a key counts as a rise whatever its value); after a
+    NULL value the next row counts as a first row.
     """
     ko = _ko(key, ts, tiebreak, bucket)
     n_us = duration_us(interval)
     d = previous_value(df, ko, value, out="_prev")
-    d = d.withColumn("_fall", (F.col("_prev").isNotNull()
+    # Spark orders NaN above every number; a comparison with it is false here
+    d = d.withColumn("_fall", (F.col("_prev").isNotNull() & ~F.isnan("_prev")
                                & (F.col(value) < F.col("_prev"))).cast("bigint"))
     d = running_sum(d, ko, "_fall", "_streak").drop("_tb")  # keeps the struct key
     first_rise = (F.lit(True) if first_floor is None
-                  else F.col(value) > F.lit(first_floor))
-    is_rise = F.when(F.col("_prev").isNull(), first_rise).otherwise(F.col(value) > F.col("_prev"))
+                  else strictly_above(value, first_floor))
+    is_rise = F.when(F.col("_prev").isNull(), first_rise).otherwise(
+        ~F.isnan(value) & (F.col(value) > F.col("_prev")))
     rows = d.select(KEY, "_streak", epoch_us(ts).alias("_t"), is_rise.alias("_rise"))
     # end bound of a streak: the first row of the next streak
     starts = rows.groupBy(KEY, "_streak").agg(F.min("_t").alias("_start"))
@@ -132,7 +138,8 @@ def _chain_by_doubling(rises: DataFrame, n_us: int, bucket="1 hour") -> DataFram
     spark = rises.sparkSession
     ensure_checkpoint_dir(spark)
     # pack the node key: (struct key, streak) -> one struct column
-    r = rises.select(F.struct(KEY, "_streak").alias("_n"), "_t")
+    # rises at one instant are one node, so the jump table stays a function
+    r = rises.select(F.struct(KEY, "_streak").alias("_n"), "_t").distinct()
     probes = r.select("_n", (F.col("_t") + F.lit(n_us)).alias("_time"),
                       F.lit(0).alias("_tag"), F.col("_t").alias("_src"),
                       F.lit(None).cast("bigint").alias("_rt"))

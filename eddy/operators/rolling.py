@@ -126,7 +126,9 @@ def running_history(df: DataFrame, key, ts: str, item: str, *, depth: int,
     w = ko.ordered()
     big = d.select(
         "*",
-        F.collect_list(item).over(w.rowsBetween(-depth, -1)).alias("_wl"),
+        # in a struct: collect_list skips NULL items otherwise
+        F.transform(F.collect_list(F.struct(F.col(item).alias("_i"))).over(w.rowsBetween(-depth, -1)),
+                    lambda x: x["_i"]).alias("_wl"),
         F.row_number().over(w).alias("_wrn"),
         F.count(F.lit(1)).over(ko.whole_bucket()).alias("_wn"))
     # last `depth` items of each bucket, from the rows already numbered above

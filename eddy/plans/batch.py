@@ -31,7 +31,6 @@ LATE_DELAY = "1 day"
 HISTORY_DEPTH = 5
 SCAN_BUCKET = "1 day"     # time bucket of the two-level keyed scans
 VALUE_BUCKET = 50.0       # value range of the two-level in-window sort
-PARTS = 4                 # parallelism of the reference's partition demo
 LEFT_TYPE, RIGHT_TYPE = "purchase", "error"
 PREFIX = "1"
 # deterministic made-up arrival order for the out-of-order operators
@@ -40,6 +39,11 @@ ARRIVAL_SQL = "(event_id * 7919) % 10007"
 K, TS, V, EID = "user_id", "ts", "value", "event_id"
 
 
+def parts(spark) -> int:
+    """Partitions of the explicit redistributions: the session's setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ev(spark: SparkSession, d: str) -> DataFrame:
     return tables.events(spark, d)
 
@@ -111,7 +115,7 @@ def q_project_len(spark, d):
 @register("partition_tag")
 def q_partition_tag(spark, d):
     """P5 (rows-only: partition indexes depend on the cluster)."""
-    return partition.tag_partition_index(partition.shuffle(ev(spark, d), PARTS, seed=7), K)
+    return partition.tag_partition_index(partition.shuffle(ev(spark, d), parts(spark), seed=7), K)
 
 
 # ---------------------------------------------------------------- routing
@@ -201,13 +205,13 @@ def q_labelled_sink(spark, d):
 @register("part_shuffle", "SELECT event_id, user_id, value FROM events")
 def q_part_shuffle(spark, d):
     """Same bag of rows after a random redistribution."""
-    return partition.shuffle(ev(spark, d).select(EID, K, V), PARTS, seed=7)
+    return partition.shuffle(ev(spark, d).select(EID, K, V), parts(spark), seed=7)
 
 
 @register("part_key", "SELECT DISTINCT user_id, 1::bigint AS n_partitions FROM events")
 def q_part_key(spark, d):
     """D2 invariant: every key lands in exactly one partition."""
-    p = partition.with_partition_id(partition.by_key(ev(spark, d).select(K), PARTS, K))
+    p = partition.with_partition_id(partition.by_key(ev(spark, d).select(K), parts(spark), K))
     return p.groupBy(K).agg(F.countDistinct("part").cast("bigint").alias("n_partitions"))
 
 

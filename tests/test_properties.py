@@ -231,3 +231,31 @@ def test_keyed_reduce_matches_sequential_fold(hot, bucket):
         acc_by_key[r["k"]] = acc
         want.append((r["e"], r["k"], acc[0], acc[1], acc[2]))
     assert rows(got.select("e", "k", "v", "one", "m")) == sorted(want)
+
+
+@pytest.mark.parametrize("max_fold", [100_000, 1])
+def test_rise_alarm_nan_is_neither_rise_nor_fall(spark, max_fold):
+    df = (spark.createDataFrame([(1, 0, 1.0), (1, 5, float("nan")), (1, 8, 3.0), (1, 12, 4.0)],
+                                "k int, s long, v double")
+          .withColumn("ts", ntz_from_us(F.col("s") * 1_000_000)))
+    got = alarms.rise_alarm(df, "k", "ts", "v", "10 seconds", bucket="5 seconds", max_fold=max_fold)
+    assert sorted(r["alarm_ts"].timestamp() - r["z"].timestamp() for r in got.withColumn(
+        "z", ntz_from_us(F.lit(0).cast("bigint"))).collect()) == [10.0, 22.0]
+
+
+def test_doubling_keeps_one_jump_per_instant(spark):
+    """24 rises at 6 instants: ties must not multiply the jump table."""
+    r = spark.createDataFrame([(i % 6, 0) for i in range(24)], "_t long, _streak long").select(
+        F.struct(F.lit(1).alias("k")).alias(alarms.KEY), "_streak", "_t")
+    got = alarms._chain_by_doubling(r, 1, bucket="1 second")
+    assert sorted(x["_t"] for x in got.collect()) == [0, 2, 4]
+
+
+@pytest.mark.parametrize("bucket", [None, "1 second", "1 hour"])
+def test_history_keeps_null_items(spark, bucket):
+    df = (spark.createDataFrame([(1, 0, "x0"), (1, 1, None), (1, 2, "x2"), (1, 3, "x3")],
+                                "k int, s long, v string")
+          .withColumn("ts", ntz_from_us(F.col("s") * 1_000_000)))
+    got = rolling.running_history(df, "k", "ts", "v", depth=5, bucket=bucket)
+    assert {r["n_before"]: r["history"] for r in got.collect()} == {
+        0: [], 1: ["x0"], 2: ["x0", None], 3: ["x0", None, "x2"]}
