@@ -38,7 +38,9 @@ def _scan_sorted(batches, group_cols, fn, fields, out_cols, emit_prefix: bool):
     group (``None`` first); otherwise the fold up to and including it."""
     cur_key, acc = object(), None
     for b in batches:
-        gk = list(b[group_cols].itertuples(index=False, name=None))
+        # a NULL key arrives as NaN, which never equals itself
+        gk = [tuple(None if x != x else x for x in k)
+              for k in b[group_cols].itertuples(index=False, name=None)]
         vals = list(b[fields].itertuples(index=False, name=None))
         outs = []
         for k, v in zip(gk, vals):
@@ -131,8 +133,10 @@ def _groups_sorted(batches, group_cols, handle):
         if pending is not None:
             b = pd.concat([pending, b], ignore_index=True)
         keys = b[group_cols]
-        change = (keys != keys.shift()).any(axis=1).to_numpy()
-        starts = [i for i in range(len(b)) if change[i]] + [len(b)]
+        last = keys.shift()
+        change = ((keys != last) & ~(keys.isna() & last.isna())).any(axis=1).to_numpy()
+        change[0] = True
+        starts = [*change.nonzero()[0].tolist(), len(b)]
         outs = [handle(b.iloc[s:e]) for s, e in zip(starts[:-2], starts[1:-1])]
         pending = b.iloc[starts[-2]:]
         if outs:

@@ -29,7 +29,9 @@ def roll(key, st, t, e, v):
     """Apply one key's rows (any order; sorted here by time, tie-break) to
     the rolling state ``st`` (or None). Returns the per-row output frame and
     the new state: running count, previous value, running arg-max (a row
-    becomes the best only if strictly greater, so the earliest wins ties)."""
+    becomes the best only if strictly greater, so the earliest wins ties; the
+    first row is the best so far whatever its value, and NaN is above all
+    numbers, as in the batch form)."""
     order = np.lexsort((e, t))
     t, e, v = t[order], e[order], v[order]
     n = len(t)
@@ -40,7 +42,8 @@ def roll(key, st, t, e, v):
     prev[0] = np.nan if last0 is None else last0
     start = -np.inf if bv0 is None else bv0
     runmax_before = np.maximum.accumulate(np.concatenate([[start], v]))[:-1]
-    new_best = v > runmax_before
+    new_best = (v > runmax_before) | (np.isnan(v) & ~np.isnan(runmax_before))
+    new_best[0] |= bv0 is None
     idx = np.maximum.accumulate(np.where(new_best, np.arange(n), -1))
     best_v = np.where(idx >= 0, v[np.maximum(idx, 0)], np.nan if bv0 is None else bv0)
     best_t = np.where(idx >= 0, t[np.maximum(idx, 0)], -1 if bt0 is None else bt0)

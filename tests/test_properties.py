@@ -259,3 +259,40 @@ def test_history_keeps_null_items(spark, bucket):
     got = rolling.running_history(df, "k", "ts", "v", depth=5, bucket=bucket)
     assert {r["n_before"]: r["history"] for r in got.collect()} == {
         0: [], 1: ["x0"], 2: ["x0", None], 3: ["x0", None, "x2"]}
+
+
+def test_keyed_reduce_null_keys(spark):
+    from eddy.operators.udf import keyed_reduce
+
+    def _max(acc, new):
+        return (max(acc[0], new[0]),)
+
+    df = (spark.createDataFrame([(None, 0, 1.0), (None, 1, 5.0), (None, 2, 2.0), (7, 0, 3.0)],
+                                "k long, s long, v double")
+          .withColumn("ts", ntz_from_us(F.col("s") * 1_000_000)))
+    for bucket in (None, "1 second", "1 hour"):
+        got = keyed_reduce(df, "k", "ts", ["v"], _max, bucket=bucket, keep=["s"])
+        assert {(r["k"], r["s"]): r["v"] for r in got.collect()} == {
+            (None, 0): 1.0, (None, 1): 5.0, (None, 2): 5.0, (7, 0): 3.0}
+
+
+@pytest.mark.parametrize("values", [[1.0, float("nan"), 5.0, 7.0], [float("-inf"), 2.0, 2.0],
+                                    [float("nan"), float("inf"), 1.0], [3.0, 3.0, float("inf")]])
+def test_stream_max_by_does_not_depend_on_batches(values):
+    import numpy as np
+    from eddy.streaming.processors import roll
+    best, want = None, []
+    for i, v in enumerate(values):
+        if best is None or (best == best and (v != v or v > values[want[-1]])):
+            best = v
+            want.append(i)
+        else:
+            want.append(want[-1])
+    for cut in range(len(values) + 1):
+        state, got = None, []
+        for part in (range(cut), range(cut, len(values))):
+            if len(part):
+                t = np.array(part, "int64")
+                out, state = roll(1, state, t, t, np.array([values[i] for i in part]))
+                got += out["best_t"].tolist()
+        assert got == want
