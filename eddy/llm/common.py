@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,14 @@ def text_column(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def batch_texts(batch: pa.RecordBatch, field: int | None) -> pa.Array:
+    """The texts of an Arrow batch: its column ``text`` or, where the text is
+    carried along anyway, that field of its struct ``extra`` (sent once)."""
+    if field is None:
+        return batch.column("text")
+    return pc.struct_field(batch.column("extra"), [field])
+
+
 def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     """Number of groups so that each holds about ``rows_per_part`` rows."""
     return max(1, -(-int(rows) // int(rows_per_part)))

@@ -31,10 +31,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, ship_by_value, text_column
+from .common import WHITE, batch_texts, ship_by_value, text_column
 
 #: bytes a trie may hold before it spills
 TRIE_BUDGET = 32 << 20
+#: rows of a batch that are Python objects at a time
+SLICE = 256
 
 
 class Node:
@@ -126,17 +128,28 @@ def normalised(text: bytes) -> bytes:
     return text.translate(None, WHITE)
 
 
-def byte_texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
-    return batch.column(i).cast(pa.binary()).to_pylist()
+def byte_texts(texts: pa.Array):
+    """Texts as bytes, NULL as empty, with their code points; some at a time,
+    so that a task holds a batch once."""
+    for at in range(0, len(texts), SLICE):
+        part = pc.fill_null(texts.slice(at, SLICE), "")
+        yield from zip(part.cast(pa.binary()).to_pylist(), pc.utf8_length(part).to_pylist())
 
 
-def digests(batches):
-    """``(id, code points, SHA-256 of the normalised text)`` of every row."""
-    for b in batches:
-        sha = [hashlib.sha256(normalised(t)).digest() for t in byte_texts(b, 1)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pc.utf8_length(b.column(1)).cast(pa.int64()), pa.array(sha, pa.binary())],
-            names=["id", "n_cp", "sha"])
+def digests(field):
+    """``(id, code points, SHA-256 of the normalised text)`` of every row, and
+    ``extra`` where the batch has it."""
+    def run(batches):
+        for b in batches:
+            sha, cps = [], []
+            for t, cp in byte_texts(batch_texts(b, field)):
+                sha.append(hashlib.sha256(normalised(t)).digest())
+                cps.append(cp)
+            extra = [b.column("extra")] if "extra" in b.schema.names else []
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(cps, pa.int64()), pa.array(sha, pa.binary()), *extra],
+                names=["id", "n_cp", "sha", *["extra"] * len(extra)])
+    return run
 
 
 def owner_batches(found, id_type, size=8 << 20):
@@ -175,8 +188,7 @@ def local_owners(budget):
             nonlocal kind
             for b in batches:
                 kind = b.schema.field(0).type
-                ids, cps = b.column(0).to_pylist(), pc.utf8_length(b.column(1)).to_pylist()
-                for i, cp, t in zip(ids, cps, byte_texts(b, 1)):
+                for i, (t, cp) in zip(b.column(0).to_pylist(), byte_texts(b.column(1))):
                     trie.insert(trie_key(normalised(t)), (cp, i, 1))
                     if trie.held > budget:
                         yield from trie.drain()
@@ -237,13 +249,13 @@ def exact_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text",
     text_sha256`` and the columns named in ``carry``."""
     kind = docs.schema[id_col].dataType.simpleString()
     own = exact_owners(docs, id_col=id_col, text_col=text_col, budget=budget)
-    extra = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
-    fields = "id " + kind + ", n_cp long, sha binary"
+    field = carry.index(text_col) if text_col in carry else None
+    rows = docs.select(F.col(id_col).alias("id"), *([F.col(text_col).alias("text")] if field is None else []),
+                       *([F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []))
+    fields = f"id {kind}, n_cp long, sha binary"
     if carry:
-        rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"), extra.alias("extra"))
-        rows = rows.mapInArrow(digests_with_extra, f"{fields}, extra {rows.schema['extra'].dataType.simpleString()}")
-    else:
-        rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text")).mapInArrow(digests, fields)
+        fields += f", extra {rows.schema['extra'].dataType.simpleString()}"
+    rows = rows.mapInArrow(digests(field), fields)
     joined = rows.join(own, "sha")
     # the owner's row; of fully repeated rows one, so rows are numbered only
     # among the rows that could be the owner; hex() makes this a shuffle of its
@@ -256,12 +268,6 @@ def exact_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text",
         *([F.col("extra")] if carry else []))
 
 
-def digests_with_extra(batches):
-    for b in batches:
-        out = next(digests([b]))
-        yield pa.RecordBatch.from_arrays([*out.columns, b.column(2)], names=["id", "n_cp", "sha", "extra"])
-
-
 ORACLE = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_cp,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),

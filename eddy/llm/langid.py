@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_by_value, text_column
+from .common import batch_texts, ship_by_value
 
 #: rows that learning may use, over all languages
 MAX_TRAIN = 768
@@ -147,12 +147,20 @@ def fit(sample: list, max_landmarks: int, ridge: float):
     return langs, vocab, p, (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
 
 
-def score(model):
+def labelled(batch, langs, scores):
+    """``batch`` without its own text column, with language and score."""
+    keep = [n for n in batch.schema.names if n != "text"]
+    return pa.RecordBatch.from_arrays(
+        [*[batch.column(n) for n in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+        names=[*keep, "lang_pred", "score"])
+
+
+def score(model, field):
     def run(batches):
         table, (langs, vocab, p, coef, bias) = model.value
         out, x = np.zeros(SPACE, bool), np.zeros((BATCH, len(vocab)), np.float32)
         for b in batches:
-            texts = b.column(1)
+            texts = batch_texts(b, field)
             pred, best = [], []
             for at in range(0, len(texts), BATCH):
                 part = texts.slice(at, BATCH).to_pylist()
@@ -166,18 +174,13 @@ def score(model):
                 top = f.argmax(1)
                 pred += [langs[k] if ok else "und" for k, ok in zip(top, live)]
                 best += [float(min(max(f[i, k], 0.0), 1.0)) if live[i] else 0.0 for i, k in enumerate(top)]
-            yield pa.RecordBatch.from_arrays(
-                [*[c for i, c in enumerate(b.columns) if i != 1], pa.array(pred, pa.string()), pa.array(best, pa.float64())],
-                names=[*[n for i, n in enumerate(b.schema.names) if i != 1], "lang_pred", "score"])
+            yield labelled(b, pred, best)
     return run
 
 
 def undecided(batches):
     for b in batches:
-        n = b.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [*[c for i, c in enumerate(b.columns) if i != 1], pa.array(["und"] * n, pa.string()), pa.array([0.0] * n)],
-            names=[*[x for i, x in enumerate(b.schema.names) if i != 1], "lang_pred", "score"])
+        yield labelled(b, ["und"] * b.num_rows, [0.0] * b.num_rows)
 
 
 def predict_language(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
@@ -188,15 +191,16 @@ def predict_language(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_
     spark = docs.sparkSession
     table = class_table()
     sample = training_rows(docs, id_col, text_col, lang_col, max_train, table)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       held_out(id_col).alias("held_out"),
+    field = carry.index(text_col) if text_col in carry else None
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
+                       *([F.col(text_col).alias("text")] if field is None else []),
                        *([F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     schema += ", lang_pred string, score double"
     if not sample:
         return rows.mapInArrow(undecided, schema)
     model = spark.sparkContext.broadcast((table, fit(sample, max_landmarks, ridge)))
-    return rows.mapInArrow(score(model), schema)
+    return rows.mapInArrow(score(model, field), schema)
 
 
 def keep_confident(docs: DataFrame, *, min_score: float, **options) -> DataFrame:
