@@ -22,7 +22,7 @@ n-gram comes once per chunk, however often it occurs, so none is hot.
 
 Scale: text is shuffled once (by chunk) and used twice; n-grams once to their
 hash range and their totals once back. Chunks are about ``chunk_bytes`` of text
-(a longer text is a chunk of its own size), ranges about ``range_grams`` n-grams;
+(a longer text is a chunk of its own size; one a core at least), ranges about ``range_grams`` n-grams;
 both numbers of groups follow the input. The driver reads two sums.
 
 Words are maximal runs without ASCII white space, lower-cased A-Z, by 64-bit
@@ -156,7 +156,8 @@ def stupid_backoff(docs: DataFrame, *, alpha: float = ALPHA, id_col="doc_id", te
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")), F.sum(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")))).first()
     n_bytes, n_words = (int(x or 0) for x in size)
-    chunks = parts_for(spark, n_bytes, chunk_bytes)
+    # at least one chunk a core, so that a small table keeps all cores busy
+    chunks = max(parts_for(spark, n_bytes, chunk_bytes), spark.sparkContext.defaultParallelism)
     ranges = parts_for(spark, 2 * n_words, range_grams)
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(chunks)).cast("int"))
     # one shuffle of the text, for counting and scoring alike
