@@ -20,6 +20,12 @@ bounded by ``max_landmarks`` times the code space. Prediction reads whole texts,
 a million characters at a time, in one pass without a shuffle, so a hot
 language or source makes no difference.
 
+The scores of all languages sum to 1 for every text, so the best one says which
+language but not whether it is any. ``known`` says that: the share of the text's
+own 3-grams that occur in learning texts, divided by that share's median over the
+learning rows (each held against the others), at most 1. It hardly depends on a
+text's length; a text without a 3-gram (a single letter) has 0.
+
 Edge cases: NULL text or a text without a letter is ``und`` with score 0; if
 nothing can be learned, every row is. NULL ids count as the empty string in
 the fold. Repeated rows count once in learning and are each predicted. Of tied
@@ -48,6 +54,8 @@ FOLDS = 5
 CLASSES = 64
 #: code space: 1-, 2- and 3-grams of classes
 SPACE = CLASSES + CLASSES ** 2 + CLASSES ** 3
+#: where the 3-grams begin in it
+TRIGRAMS = CLASSES + CLASSES ** 2
 BATCH = 128
 #: languages up to which the sampling limits are broadcast instead of shuffled
 MAX_BROADCAST = 10_000
@@ -147,21 +155,37 @@ def fit(sample: list, max_landmarks: int, ridge: float):
     return langs, vocab, p, (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
 
 
-def labelled(batch, langs, scores):
-    """``batch`` without its own text column, with language and score."""
+def learned_trigrams(sample: list) -> tuple[np.ndarray, float]:
+    """The 3-grams of the learning texts (booleans), and the median over these
+    texts of the share of their 3-grams that another one has."""
+    seen = np.zeros(SPACE - TRIGRAMS, np.int32)
+    own = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=SPACE)[TRIGRAMS:]) for r in sample]
+    for x in own:
+        seen[x] += 1
+    shares = [float((seen[x] > 1).mean()) for x in own if len(x)]
+    return seen > 0, float(np.median(shares)) if shares else 0.0
+
+
+def known_share(grams: np.ndarray, learned: np.ndarray, usual: float) -> float:
+    n = np.count_nonzero(grams[TRIGRAMS:])
+    return min(1.0, np.count_nonzero(grams[TRIGRAMS:] & learned) / n / max(usual, 1e-9)) if n else 0.0
+
+
+def labelled(batch, langs, scores, known):
+    """``batch`` without its own text column, with language, score and known share."""
     keep = [n for n in batch.schema.names if n != "text"]
     return pa.RecordBatch.from_arrays(
-        [*[batch.column(n) for n in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-        names=[*keep, "lang_pred", "score"])
+        [*[batch.column(n) for n in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(known, pa.float64())],
+        names=[*keep, "lang_pred", "score", "known"])
 
 
 def score(model, field):
     def run(batches):
-        table, (langs, vocab, p, coef, bias) = model.value
+        table, (langs, vocab, p, coef, bias), (learned, usual) = model.value
         out, x = np.zeros(SPACE, bool), np.zeros((BATCH, len(vocab)), np.float32)
         for b in batches:
             texts = batch_texts(b, field)
-            pred, best = [], []
+            pred, best, known = [], [], []
             for at in range(0, len(texts), BATCH):
                 part = texts.slice(at, BATCH).to_pylist()
                 size = np.ones(len(part), np.float32)
@@ -170,24 +194,25 @@ def score(model, field):
                     live[i] = t is not None and presence(t, table, out)
                     if live[i]:
                         x[i], size[i] = out[vocab], np.count_nonzero(out)
+                    known.append(known_share(out, learned, usual) if live[i] else 0.0)
                 f = (x[:len(part)] @ p.T) / np.sqrt(size)[:, None] @ coef + bias
                 top = f.argmax(1)
                 pred += [langs[k] if ok else "und" for k, ok in zip(top, live)]
                 best += [float(min(max(f[i, k], 0.0), 1.0)) if live[i] else 0.0 for i, k in enumerate(top)]
-            yield labelled(b, pred, best)
+            yield labelled(b, pred, best, known)
     return run
 
 
 def undecided(batches):
     for b in batches:
-        yield labelled(b, ["und"] * b.num_rows, [0.0] * b.num_rows)
+        yield labelled(b, ["und"] * b.num_rows, *[[0.0] * b.num_rows] * 2)
 
 
 def predict_language(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
                      max_train: int = MAX_TRAIN, max_landmarks: int = MAX_LANDMARKS,
-                     ridge: float = RIDGE, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score`` and a
-    struct ``extra`` of the columns named in ``carry``."""
+                     ridge: float = RIDGE, carry: tuple[str, ...] = (), known: bool = False) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score``, a
+    struct ``extra`` of the columns named in ``carry`` and, if asked for, ``known``."""
     spark = docs.sparkSession
     table = class_table()
     sample = training_rows(docs, id_col, text_col, lang_col, max_train, table)
@@ -196,19 +221,20 @@ def predict_language(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_
                        *([F.col(text_col).alias("text")] if field is None else []),
                        *([F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    schema += ", lang_pred string, score double"
-    if not sample:
-        return rows.mapInArrow(undecided, schema)
-    model = spark.sparkContext.broadcast((table, fit(sample, max_landmarks, ridge)))
-    return rows.mapInArrow(score(model, field), schema)
+    schema += ", lang_pred string, score double, known double"
+    if sample:
+        model = spark.sparkContext.broadcast((table, fit(sample, max_landmarks, ridge), learned_trigrams(sample)))
+    out = rows.mapInArrow(score(model, field) if sample else undecided, schema)
+    return out if known else out.drop("known")
 
 
 def keep_confident(docs: DataFrame, *, min_score: float, **options) -> DataFrame:
-    """The rows of ``docs`` whose language is found with at least ``min_score``."""
+    """The rows of ``docs`` in one of the languages learned: those that are not
+    ``und`` and whose ``known`` is at least ``min_score``."""
     if not 0 <= min_score <= 1 or math.isnan(min_score):
         raise ValueError("min_score must lie in [0, 1]")
-    p = predict_language(docs, carry=tuple(docs.columns), **options)
-    return p.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("extra.*")
+    p = predict_language(docs, carry=tuple(docs.columns), known=True, **options)
+    return p.where((F.col("lang_pred") != "und") & (F.col("known") >= min_score)).select("extra.*")
 
 
 ship_by_value(__name__)

@@ -146,6 +146,25 @@ def test_language_id(spark, rows):
     assert {r.lang_pred for r in none.collect()} == {"und"}
 
 
+def test_language_stage_rejects_noise(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = [r.doc_id for r in docs.select("doc_id").collect()]
+    held = [i for i in range(max(ids) + 1, max(ids) + 400) if zlib.crc32(str(i).encode()) % 5 == 0]  # not learned from
+    r = random.Random(7)
+    noise = lambda n, letters: " ".join("".join(r.choice(letters) for _ in range(7)) for _ in range(n))
+    bad = [noise(3, "bcdfghjklmnpqrstvwxz"), noise(200, "abcdefghijklmnopqrstuvwxyz0123456789"), noise(30, "абвгдежзиклмноп"), "q"]
+    texts = [x.text for x in docs.where("lang is not null and length(text) > 200").limit(20).collect()]
+    good = [" ".join(t.split()[5:5 + n]) for t in texts for n in (4, 8)]
+    extra = list(zip(held, bad + good))
+    more = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)
+    kept = {x.doc_id for x in corpus_pipeline.language_id(spark, more, SF).collect()}
+    assert len(extra) == len(bad) + len(good)
+    assert kept.isdisjoint(i for i, _ in extra[:len(bad)])
+    assert kept >= {i for i, _ in extra[len(bad):]}
+    clean = [x.doc_id for x in docs.where("text rlike '[a-z]{3}'").collect()]
+    assert len(kept & set(clean)) >= 0.98 * len(clean)
+
+
 def test_presence_is_the_ngram_set():
     table, out = langid.class_table(), np.zeros(langid.SPACE, bool)
     old, langid.CHUNK = langid.CHUNK, 7
