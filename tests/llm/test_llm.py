@@ -96,6 +96,28 @@ def test_jaccard_components(spark, rows, n, num, den, bits, per_class):
     assert sorted([tuple(r)[:3] for r in got.collect()], key=order) == sorted(want, key=order)
 
 
+@pytest.mark.parametrize("n,num,den", [(3, 90, 100), (2, 60, 100)])
+def test_jaccard_link_counts(spark, rows, monkeypatch, n, num, den):
+    """Every row's links, copies included, in one block and in many."""
+    base = prose(77, 90).split()
+    near = []
+    for i in range(30):  # one large group; not all of its members link
+        w = list(base)
+        for k in range(i % 6):
+            w[(17 * i + 23 * k) % len(w)] = f"near{i}x{k}"
+        near.append((800 + i, " ".join(w[:len(w) - i % 7]), "en", "s0"))
+    docs = rows + near + near[:3]
+    sets = [brute.shingles(t, n) for _, t, *_ in docs]
+    links = lambda x, y: bool(x and y) and den * len(x & y) >= num * len(x | y)
+    want = [(r[0], len(x), sum(links(x, y) for y in sets) - bool(x)) for r, x in zip(docs, sets)]
+    order = lambda x: (x[0] is None, x[0] or 0, x[1:])
+    for blocks in ((400_000, 1024, 4096), (700, 3, 64)):
+        for name, value in zip(("BLOCK_GRAMS", "BLOCK_SETS", "SLICE_GRAMS"), blocks):
+            monkeypatch.setattr(ngram_jaccard, name, value)
+        got = ngram_jaccard.jaccard_components(frame(spark, docs), n=n, num=num, den=den, bits=14).collect()
+        assert sorted([(r.doc_id, r.n_shingles, r.n_links) for r in got], key=order) == sorted(want, key=order)
+
+
 def test_jaccard_sketch_counts():
     """Counters above one byte travel beside the others; tasks add up."""
     import pyarrow as pa
