@@ -373,6 +373,22 @@ def test_pipeline_stages(spark, rows, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() >= kept.count()
 
 
+def test_jaccard_stage_repeated_and_null_ids(spark):
+    base, other = prose(41, 60), prose(42, 60)
+    near = lambda k: base + f" tail{k}"
+    docs = [(1, base, "en", "a"), (2, near(2), "en", "b"), (2, other, "fr", "c"), (2, prose(43, 40), "fr", "d"),
+            (None, prose(44, 50), "en", "e"), (None, prose(44, 50) + " more", "en", "f"), (None, prose(44, 50), "en", "e"),
+            (None, near(3), "en", "g"), (3, prose(45, 30), "en", "h"), (3, prose(45, 30), "en", "h"), (None, None, "en", "i"), (4, " ", "en", "j"), (4, " ", "en", "j")]
+    got = corpus_pipeline.jaccard(spark, frame(spark, docs), SF)
+    assert got.columns == frame(spark, []).columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    null = [t for i, t in got if i is None and t is not None]
+    assert len(null) == 1 and null[0] in (docs[4][1], docs[5][1])
+    rest = [x for x in got if x[0] is not None or x[1] is None]
+    want = [(1, base), (2, other), (2, prose(43, 40)), (3, prose(45, 30)), (None, None), (4, " "), (4, " ")]
+    assert sorted(rest, key=str) == sorted(want, key=str)
+
+
 def test_registered():
     names = set(E.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
