@@ -17,6 +17,16 @@ WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: the same as a character class for SQL regular expressions
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
 
+#: for DuckDB, which has no CRC: a common table ``crc`` with the 256 steps of CRC-32, from its rule
+CRC32_SQL = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB: the CRC-32 of an ASCII string, in a query that also reads ``crc``."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i::INT, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
 
 def ship_by_value(module_name: str) -> None:
     """Let tasks run this module's functions without importing it there."""

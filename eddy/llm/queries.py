@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import exact_dedup, langid, lm_score, mixing, ngram_jaccard, packing, secrets, suffix_dedup, topk, url_filter
+from . import (conversations, exact_dedup, langid, lm_score, merkle, mixing, ngram_jaccard, packing, secrets, suffix_dedup,
+               topk, toxicity, url_filter)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -77,6 +78,21 @@ def op8(spark, d):
     return s.withColumn("score", F.round("score", 6))
 
 
+@register("op11_merkle_manifest", merkle.ORACLE)
+def op11(spark, d):
+    return merkle.contract_manifest(table(spark, d, "documents"))
+
+
+@register("op12_conversation_repair", conversations.ORACLE)
+def op12(spark, d):
+    return conversations.audit_conversations(table(spark, d, "conversations"))
+
+
+@register("op13_toxicity")
+def op13(spark, d):
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @register("pipeline")
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
