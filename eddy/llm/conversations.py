@@ -298,9 +298,10 @@ def chosen_edits(flags: DataFrame) -> DataFrame:
     """``c, seg, m, codes, illegal, cost, letters, entry`` of every segment: its
     first row's number, its rows' codes, illegal neighbours, the conversation's
     cost (on its first segment), the segment's edits and entry state."""
-    segs = segments(flags).mapInArrow(with_exit_costs, ddl([*SEG, ("matrix", LONGS)]))
+    parts = int(flags.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))  # given, so that small rows with much work stay spread
+    segs = segments(flags).repartition(parts, "c", "seg").mapInArrow(with_exit_costs, ddl([*SEG, ("matrix", LONGS)]))
     segs = segs.repartition("c").sortWithinPartitions("c", F.col("seg").desc()).mapInArrow(backward, ddl(BACK))
-    edits = segs.repartition("c", "seg").mapInArrow(traced, ddl(TRACED))
+    edits = segs.repartition(parts, "c", "seg").mapInArrow(traced, ddl(TRACED))
     edits = edits.repartition("c").sortWithinPartitions("c", "seg").mapInArrow(forward, ddl(CHOSEN))
     return stored(edits, "repair-edits")
 

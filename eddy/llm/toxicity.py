@@ -6,8 +6,10 @@ Kernel
     letters, one for the piece's start); what is no letter only takes room. Its
     features are the subsequences of three classes within ``SPAN`` places, each
     weighing ``DECAY`` to the number of places it covers, summed per subsequence.
-    The kernel of two pieces is the cosine of their features: an insult with gaps,
-    fillers or an ending still shares most of its subsequences with the plain one.
+    The kernel of two pieces is the product of their features, each divided by the
+    root of the occurrences' squared weights (the cosine, where no subsequence occurs
+    twice): an insult with gaps, fillers or an ending still shares most of its
+    subsequences with the plain one.
 
 Pieces of a sentence are its words (of one longer than ``PIECE`` characters: windows
 that overlap by half), spelled-out runs (``i d i o t``), and pairs of short
@@ -28,14 +30,15 @@ Learning
     learned without a third of the rows give that third, turns that into a
     probability.
 
-Scale: learning reads at most ``max_rows`` documents of each label (those with the
-smallest hash of the text; each text once) and their pieces are all that the driver
-reads; the machine's first version also scores all other learning rows, and the
-``HARD`` highest pieces of clean ones are learned as well, next to ``CLEAN``
-pieces of the clean rows of the sample. The model broadcast is
-one number a subsequence (88 kB). Scoring is one pass over whole texts without a
-shuffle; a worker remembers the scores of at most ``CACHE`` pieces. Labels join by
-id: the ids and hashes of the texts travel, texts of learning rows only once.
+Scale: learning uses at most ``max_rows`` documents of each label, those with the
+smallest hash of the text, whose pieces the driver reads; the machine's first version
+scores half of up to ``more`` further clean documents, whose ``HARD`` highest pieces
+are learned as well, next to ``CLEAN`` pieces of the clean rows of the sample; the
+other half's margins go into the curve. Labels
+meet the ids and hashes of the texts, no text is shuffled for it; the sample's ids
+are broadcast to the scan and its texts stored. The model broadcast is one number a
+subsequence (98 kB). Scoring is one pass over whole texts without a shuffle; a task
+remembers the scores of at most ``CACHE`` pieces.
 
 Edge cases: NULL, empty and letterless texts score as a text without any piece;
 without labels of both kinds all score 0. A document with several labels is toxic
@@ -53,17 +56,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_by_value
-from .langid import held_out
+from .common import ship_by_value, stored
+from .langid import class_table, held_out
 
-#: learning rows of each label, landmarks, hard pieces of clean rows
-MAX_ROWS, LANDMARKS, HARD = 600, 128, 4000
+#: learning rows of each label, further clean rows, landmarks, hard pieces of the latter
+MAX_ROWS, MORE, LANDMARKS, HARD = 600, 6000, 128, 4000
 #: characters of a piece, places that a subsequence covers at most, its decay a place
 PIECE, SPAN, DECAY = 24, 7, 0.7
 EDGES = ".,;:!?\"'()[]"
-#: letter classes: a-z, other letters, the start
-OTHER, START, CLASSES = 26, 27, 28
+#: letter classes: a-z, other letters, the start, what is no letter
+OTHER, START, NONE, CLASSES = 26, 27, 28, 29
 SPACE = CLASSES ** 3
+#: 1 for subsequences without the class of what is no letter
+LETTERS = np.pad(np.ones((CLASSES - 1,) * 3, np.float32), (0, 1)).reshape(-1)
 #: letters of the words of a pair, together; shares of clean rows above which a word is in no pair
 SHORT, COMMON = 5, 0.02
 ROUNDS, COST = 4, 1.0
@@ -78,56 +83,61 @@ CACHE, SLICE = 300_000, 128
 
 
 # ------------------------------------------------------------------ the features
-def class_of(ch: str) -> int:
-    return ord(ch) - 97 if "a" <= ch <= "z" else OTHER if ch.isalpha() else -1
+def letter_classes() -> np.ndarray:
+    """Class of every code point of a lower-cased text."""
+    t = class_table().astype(np.int16)
+    return np.where(t == 0, NONE, np.where(t > 26, OTHER, t - 1)).astype(np.uint8)
 
 
-def coded(piece: str) -> list:
-    return [START, *map(class_of, piece)]
+TABLE = letter_classes()
 
 
-def features(pieces: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, subsequence, value)`` of all pieces, by row, of length 1 a row."""
-    width = max(map(len, pieces)) + 1
-    c = np.full((len(pieces), width + SPAN), -1, np.int32)
-    for i, p in enumerate(pieces):
-        c[i, :len(p) + 1] = coded(p)
-    keys, values = [], []
+def coded(pieces: list) -> np.ndarray:
+    """Classes of the pieces, one a row, filled up with ``NONE``."""
+    width = max(map(len, pieces))
+    text = "".join(p.ljust(width) for p in pieces).encode("utf-32-le", "surrogatepass")
+    own = TABLE[np.frombuffer(text, "<u4")].reshape(len(pieces), width)
+    return np.hstack([np.full((len(pieces), 1), START, np.int32), own.astype(np.int32)])
+
+
+def occurrences(c: np.ndarray):
+    """Per gap pattern: the subsequence that begins at each place, and its weight."""
+    width = c.shape[1]
     for far in range(2, min(SPAN, width)):
         for near in range(1, far):
-            a, b, d = c[:, :width - far], c[:, near:width - far + near], c[:, far:width]
-            row, at = np.nonzero((a >= 0) & (b >= 0) & (d >= 0))
-            keys.append(row.astype(np.int64) * SPACE + (a[row, at] * CLASSES + b[row, at]) * CLASSES + d[row, at])
-            values.append(np.full(len(row), DECAY ** (far + 1), np.float32))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    keys, values = np.concatenate(keys), np.concatenate(values)
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    if not len(keys):
-        return keys, keys, values
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, values = keys[first], np.add.reduceat(values, first)
-    row = keys // SPACE
-    size = np.sqrt(np.bincount(row, values ** 2, minlength=len(pieces)))
-    return row, keys % SPACE, (values / size[row]).astype(np.float32)
+            yield (c[:, :width - far] * CLASSES + c[:, near:width - far + near]) * CLASSES + c[:, far:], DECAY ** (far + 1)
+
+
+def lengths(c: np.ndarray) -> np.ndarray:
+    """Length of every piece's features, counting each occurrence by itself."""
+    square = np.zeros(len(c), np.float32)
+    for sub, weight in occurrences(c):
+        square += LETTERS[sub].sum(1) * np.float32(weight ** 2)
+    return np.sqrt(np.maximum(square, 1e-12))
 
 
 def linear(pieces: list, weights: np.ndarray) -> np.ndarray:
-    """Sums of the pieces' features times ``weights`` (one or several columns)."""
+    """The pieces' features times ``weights`` (one or several columns)."""
     out = np.zeros((len(pieces), *weights.shape[1:]), np.float32)
-    step = 2000
+    step = 4000 if weights.ndim == 1 else 250
     order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
     for at in range(0, len(pieces), step):
         part = order[at:at + step]
-        row, sub, value = features([pieces[i] for i in part])
-        if len(row):
-            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            got = weights[sub] * (value if weights.ndim == 1 else value[:, None])
-            out[np.array(part)[row[first]]] = np.add.reduceat(got, first, axis=0)
+        c = coded([pieces[i] for i in part])
+        got = sum((weights[sub].sum(1) * np.float32(weight) for sub, weight in occurrences(c)), np.zeros((len(part), *weights.shape[1:]), np.float32))
+        size = lengths(c)
+        out[part] = got / (size if weights.ndim == 1 else size[:, None])
     return out
 
 
+def features(piece: str) -> np.ndarray:
+    """The features of a piece, one number a subsequence."""
+    out, c = np.zeros(SPACE, np.float32), coded([piece])
+    for sub, weight in occurrences(c):
+        np.add.at(out, sub[0], np.float32(weight))
+    return out * LETTERS / lengths(c)[0]
+
+
 # -------------------------------------------------------------------- the pieces
 def pieces_of(text: str | None, common: frozenset) -> set:
     words = (text or "").lower().split()
@@ -225,9 +235,9 @@ def landmarks(found: dict, count: int) -> list:
         for p in offered:
             if len(chosen) >= most:
                 break
-            _, sub, value = features([p])
-            if len(sub) and not (dense[:len(chosen), sub] @ value > ALIKE).any():
-                dense[len(chosen), sub] = value
+            own = features(p)
+            if own.any() and not (dense[:len(chosen)] @ own > ALIKE).any():
+                dense[len(chosen)] = own
                 chosen.append(p)
     return chosen
 
@@ -242,9 +252,7 @@ class Machine:
     def __init__(self, bags_: list, count: int):
         self.found = odds(bags_)
         marks = landmarks(self.found, count)
-        dense = np.zeros((SPACE, len(marks)), np.float32)
-        row, sub, value = features(marks)
-        dense[sub, row] = value
+        dense = np.array([features(p) for p in marks], np.float32).reshape(len(marks), SPACE).T
         val, vec = np.linalg.eigh((dense.T @ dense).astype(np.float64))
         self.to_features = (dense @ ((vec * np.maximum(val, 1e-3) ** -0.5) @ vec.T)).astype(np.float32)
         clean = {p for _, label, ps in bags_ if not label for p in ps}
@@ -297,23 +305,21 @@ def logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
 
 
 # ------------------------------------------------------------------ the operator
-def learning_rows(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col) -> DataFrame:
-    """``h, toxic, text`` of the labelled documents outside the held-out fold."""
+def sample(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col, max_rows: int, more: int):
+    """``(rows, n)``: ``h, toxic, first, text`` of the learning sample, stored, and
+    the learning rows of each label. ``first`` marks the ``max_rows`` of a label with
+    the smallest hashes; of clean rows up to ``more`` follow."""
+    spark = docs.sparkSession
     own = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
-    rows = docs.where(~held_out(id_col) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.join(own, "id").select(F.xxhash64("text").alias("h"), "toxic", "text")
-
-
-def sample_limits(rows: DataFrame, each: int) -> tuple[list, list]:
-    """Per label the hash up to which rows are learned, and the rows there are."""
-    small = rows.select("toxic", "h").persist()
-    counts = {r["toxic"]: r["count"] for r in small.groupBy("toxic").count().collect()}
-    most = []
-    for k in (0, 1):  # the driver gets ``each`` numbers
-        got = small.where(F.col("toxic") == k).select("h").distinct().orderBy("h").limit(each).collect()
-        most.append(max((r["h"] for r in got), default=None))
-    small.unpersist()
-    return most, [counts.get(k, 0) for k in (0, 1)]
+    texts = docs.where(~held_out(id_col) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    rows = stored(texts.select("id", "h").join(own, "id"), "toxic-rows")  # no text is shuffled
+    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    each = rows.groupBy("toxic", "h").agg(F.min("id").alias("id"))
+    picked = [each.where(F.col("toxic") == k).orderBy("h").limit(n).collect() for k, n in ((1, max_rows), (0, max_rows + more))]
+    picked = [(r["id"], r["h"], r["toxic"], i < max_rows) for part in picked for i, r in enumerate(part)]
+    chosen = spark.createDataFrame(picked, f"id {docs.schema[id_col].dataType.simpleString()}, h long, toxic int, first boolean")
+    found = texts.join(F.broadcast(chosen), ["id", "h"]).select("h", "toxic", "first", "text")  # 2 * max_rows + more numbers
+    return stored(found.dropDuplicates(["h"]), "toxic-sample"), [counts.get(k, 0) for k in (0, 1)]
 
 
 def word_share(bags_: list) -> frozenset:
@@ -327,15 +333,13 @@ def word_share(bags_: list) -> frozenset:
     return frozenset(p for p, n in seen.items() if n > COMMON * len(clean))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col, max_rows: int, count: int):
+def learn(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col, max_rows: int, more: int, count: int):
     """``(weights, bias, slope, offset, common words)``, or None."""
     spark = docs.sparkSession
-    rows = learning_rows(docs, labels, id_col, text_col, label_col)
-    most, n = sample_limits(rows, max_rows)
-    if None in most:
+    rows, n = sample(docs, labels, id_col, text_col, label_col, max_rows, more)
+    if 0 in n:
         return None
-    picked = rows.where(F.col("h") <= F.when(F.col("toxic") == 1, most[1]).otherwise(most[0]))
-    once = picked.mapInArrow(bags(frozenset()), "h long, toxic int, pieces array<string>").groupBy("h", "toxic").agg(F.first("pieces").alias("pieces"))
+    once = rows.where("first").mapInArrow(bags(frozenset()), "h long, toxic int, pieces array<string>")
     got = sorted((r["h"], r["toxic"], r["pieces"]) for r in once.collect())
     common = word_share(got)
     got = [(h, t, [p for p in ps if " " not in p or len(p.split()) > 2 or not common.intersection(p.split())]) for h, t, ps in got]
@@ -343,8 +347,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col, max_r
     machine = Machine(got, count)
     model = machine.solve([])
     shared = spark.sparkContext.broadcast((*model, common))
-    far = rows.where((F.col("toxic") == 0) & (F.col("h") > most[0])).select("text")
-    hard = far.mapInArrow(top_pieces(shared), "piece string, margin double").groupBy("piece").agg(F.max("margin").alias("margin"))
+    hard = rows.where("not first and h % 2 = 0").select("text")
+    hard = hard.mapInArrow(top_pieces(shared), "piece string, margin double").groupBy("piece").agg(F.max("margin").alias("margin"))
     hard = [r["piece"] for r in hard.orderBy(F.col("margin").desc(), "piece").limit(HARD).collect()]
     # margins of learning rows by machines that did not learn them, for the logistic curve
     m, y = np.zeros(len(got)), np.array([r[1] for r in got], np.float64)
@@ -353,9 +357,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col, text_col, label_col, max_r
         rest = [r for r, o in zip(got, own) if not o]
         if {r[1] for r in rest} == {0, 1}:
             m[own] = margins([r[2] for r, o in zip(got, own) if o], Machine(rest, count).solve(hard))
+    model = machine.solve(hard)
+    fresh = rows.where("not first and h % 2 <> 0").select("text").mapInArrow(top_margins(spark.sparkContext.broadcast((*model, common))), "margin double")
+    fresh = sorted(r["margin"] for r in fresh.collect())
+    m, y = np.concatenate([m, fresh]), np.concatenate([y, np.zeros(len(fresh))])
     weight = np.where(y > 0, n[1] / max(1, y.sum()), n[0] / max(1, (1 - y).sum()))
     slope, offset = logistic(m, y, weight * len(y) / weight.sum())
-    model = machine.solve(hard)
     return (*model, max(slope, 1e-3), offset, common)
 
 
@@ -378,6 +385,15 @@ class Scorer:
         return [max((seen[p] for p in ps), default=0.0) + self.bias for ps in self.pieces(texts)]
 
 
+def top_margins(shared):
+    def run(batches):
+        scorer = Scorer(*shared.value)
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE):
+                yield pa.RecordBatch.from_arrays([pa.array(scorer.margins(b.column("text").slice(at, SLICE).to_pylist()), pa.float64())], names=["margin"])
+    return run
+
+
 def top_pieces(shared):
     """The highest pieces of a task's texts, ``HARD`` at most."""
     def run(batches):
@@ -407,10 +423,10 @@ def scored(shared):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", label_col="toxic",
-             max_rows: int = MAX_ROWS, count: int = LANDMARKS) -> DataFrame:
+             max_rows: int = MAX_ROWS, more: int = MORE, count: int = LANDMARKS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
     spark = docs.sparkSession
-    model = learn(docs, labels, id_col, text_col, label_col, max_rows, count)
+    model = learn(docs, labels, id_col, text_col, label_col, max_rows, more, count)
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
