@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 ROOT = os.path.dirname(os.path.dirname(HERE))
@@ -96,6 +97,25 @@ def test_jaccard_components(spark, rows, n, num, den, bits, per_class):
     assert sorted([tuple(r)[:3] for r in got.collect()], key=order) == sorted(want, key=order)
 
 
+def test_jaccard_partners_and_pairs(spark, rows):
+    """Copies are counted, partners are linked, pairs of representatives connect
+    what is connected."""
+    n, num, den = 2, 60, 100
+    sets = [brute.shingles(t, n) for _, t, *_ in rows]
+    got = ngram_jaccard.jaccard_components(frame(spark, rows), n=n, num=num, den=den, bits=14).collect()
+    of_id = {}
+    for (i, *_), x in zip(rows, sets):
+        of_id.setdefault(i, []).append(x)
+    assert sorted((r.doc_id or -1, r.n_copies) for r in got) == sorted((i or -1, sets.count(x) if x else 1) for (i, *_), x in zip(rows, sets))
+    for r in got:
+        if r.partner_id is not None:
+            assert any(x != y and den * len(x & y) >= num * len(x | y) for x in of_id[r.doc_id] for y in of_id[r.partner_id])
+    pairs, members = ngram_jaccard.similar_pairs(frame(spark, rows), n=n, num=num, den=den, bits=14)
+    names = {r.representative: r.doc_id for r in members.collect() if r.representative}
+    linked = {frozenset((names[r.a], names[r.b])) for r in pairs.collect()}
+    assert linked and all(len(p) == 2 for p in linked)
+
+
 @pytest.mark.parametrize("n,num,den", [(3, 90, 100), (2, 60, 100)])
 def test_jaccard_link_counts(spark, rows, monkeypatch, n, num, den):
     """Every row's links, copies included, in one block and in many."""
@@ -114,7 +134,7 @@ def test_jaccard_link_counts(spark, rows, monkeypatch, n, num, den):
     for blocks in ((400_000, 1024, 4096), (700, 3, 64)):
         for name, value in zip(("BLOCK_GRAMS", "BLOCK_SETS", "SLICE_GRAMS"), blocks):
             monkeypatch.setattr(ngram_jaccard, name, value)
-        got = ngram_jaccard.jaccard_components(frame(spark, docs), n=n, num=num, den=den, bits=14).collect()
+        got = ngram_jaccard.jaccard_components(frame(spark, docs), n=n, num=num, den=den, bits=14, counts=True).collect()
         assert sorted([(r.doc_id, r.n_shingles, r.n_links) for r in got], key=order) == sorted(want, key=order)
 
 
@@ -331,6 +351,19 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.complete_bins(small, 10, 1000)) == 3
 
 
+def test_mix_documents_equals_its_sizes(spark, rows):
+    """NULL sources and ids, repeated rows, equal id and text in two sources: the
+    mix holds the words that ``mix_sizes`` says, source by source."""
+    same = [(700, prose(5, 80), "en", "s0"), (700, prose(5, 80), "en", "s1"), (700, prose(5, 80), "fr", "s1")] * 2 + [(None, prose(6, 50), None, None)] * 3
+    for docs in (rows + same, same, [(1, "", "en", "a"), (2, None, "en", None), (3, " ", "en", "a")]):
+        d = frame(spark, docs)
+        want = {r.source: r.words for r in mixing.fair_queue(d).groupBy("source").agg(F.sum(F.col("size") * F.col("passes")).alias("words")).collect()}
+        got = {}
+        for r in mixing.mix_documents(d).collect():
+            got[r.source] = got.get(r.source, 0) + len(brute.WORD.findall(r.text or ""))
+        assert got == {k: v for k, v in want.items() if v}
+
+
 def test_backoff_edges(spark, rows):
     got = lm_score.stupid_backoff(frame(spark, rows), chunk_bytes=3000, range_grams=500).collect()
     one = lm_score.stupid_backoff(frame(spark, rows)).collect()
