@@ -7,7 +7,7 @@ import sys
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -61,6 +61,24 @@ def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     return max(1, -(-int(rows) // int(rows_per_part)))
 
 
+def sums_before(df: DataFrame, order: list, values: list[str], name: str) -> DataFrame:
+    """``df`` with ``before_<v>`` for each of ``values``: its sum over all rows that
+    come earlier in ``order`` (columns that tell any two rows apart). Rows are
+    range-partitioned; each range's sums go to all later ranges, so no task holds
+    more than a range, and a row for each pair of ranges is all that is added."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    dealt = stored(dealt, name).withColumn("_range", F.shiftright("_m", 33))
+    sums = dealt.groupBy("_range").agg(*[F.sum(v).alias(v) for v in values])
+    last = sums.agg(F.max("_range")).first()[0] or 0
+    later = sums.where(F.col("_range") < last).select(F.explode(F.sequence(F.col("_range") + 1, F.lit(last))).alias("_range"), *values)
+    later = later.groupBy("_range").agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    inside = Window.partitionBy("_range").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.join(later, "_range", "left")
+    zero = F.lit(0)
+    return out.select("*", *[(F.coalesce(F.sum(v).over(inside), zero) + F.coalesce(f"_{v}", zero)).alias(f"before_{v}") for v in values]).drop("_m", "_range", *[f"_{v}" for v in values])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node of the undirected ``edges``; ``root`` is
     the smallest node of its component.

@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, parts_for, stored, text_column
+from .common import WORD_RE, parts_for, stored, sums_before, text_column
 
 #: rows that one hash range or one finish-time range holds on average
 PER_RANGE = 4096
@@ -52,31 +52,29 @@ def shuffle_key(id_col: str, text: Column) -> Column:
     return F.conv(F.substring(key, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_key: Column) -> DataFrame:
     text = text_column(text_col)
     return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        F.regexp_count(text, F.lit(WORD_RE)).cast("long").alias("size"),
-                       shuffle_key(id_col, text).alias("h"))
+                       shuffle_key(id_col, text).alias("h"), row_key.alias("rk"))
 
 
 def source_targets(rows: DataFrame, weights, share: float, limit: int) -> DataFrame:
-    """One row per source: ``source, srank, n, source_size, target``."""
-    src = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    src = src.withColumn("srank", F.row_number().over(by_name).cast("long"))
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                     (F.pmod(F.col("srank") - 1, F.lit(len(weights))) + 1).cast("int"))
+    """One row per source: ``source, srank, n, source_size, target``. The driver
+    reads the sums of sizes and weights, and the water level."""
+    src = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).withColumn("one", F.lit(1).cast("long"))
+    src = sums_before(src, [F.col("source").asc_nulls_last()], ["one"], "mix-sources")
+    srank = (F.col("before_one") + 1).cast("long")
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.pmod(F.col("before_one"), F.lit(len(weights))) + 1).cast("int"))
     cap = (F.col("source_size") * limit).cast("double")
-    src = src.select("*", w.alias("w"), cap.alias("cap"))
-    every = Window.orderBy(F.col("cap") / F.col("w"), "srank")
-    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = every.rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(whole) * share - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    level = left / (F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
-    src = src.withColumn("own_level", level)
-    fits = F.when(F.col("own_level") * F.col("w") <= F.col("cap"), F.col("own_level"))
-    src = src.withColumn("level", F.first(fits, ignorenulls=True).over(whole))
-    target = F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap")))
+    src = src.select("source", "source_size", "n", srank.alias("srank"), w.alias("w"), cap.alias("cap"), (cap / w).alias("fill"))
+    src = sums_before(src, ["fill", "srank"], ["cap", "w"], "mix-levels")
+    total = src.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    left = F.lit(float((total["size"] or 0) * share)) - F.col("before_cap")
+    src = src.withColumn("own_level", left / (F.lit(float(total["w"] or 0)) - F.col("before_w")))
+    fits = src.where(F.col("own_level") * F.col("w") <= F.col("cap"))
+    level = fits.agg(F.min_by("own_level", F.struct("fill", "srank"))).first()[0]
+    target = F.col("cap") if level is None else F.least("cap", F.lit(level) * F.col("w"))
     return src.select("source", "srank", "n", "source_size", target.alias("target"))
 
 
@@ -87,7 +85,7 @@ def queued(rows: DataFrame, src: DataFrame, per_range: int) -> DataFrame:
     d = rows.join(s, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
     ranges = F.ceil(F.col("n") / F.lit(per_range))
     d = d.withColumn("hr", F.floor(F.col("h") / F.lit(float(1 << HASH_BITS)) * ranges))
-    inside = (Window.partitionBy("srank", "hr").orderBy("h", "id", "size")
+    inside = (Window.partitionBy("srank", "hr").orderBy("h", "id", "size", "rk")
               .rowsBetween(Window.unboundedPreceding, 0))
     d = d.withColumn("run", F.sum("size").over(inside))
     sums = d.groupBy("srank", "hr").agg(F.sum("size").alias("words"))
@@ -97,8 +95,9 @@ def queued(rows: DataFrame, src: DataFrame, per_range: int) -> DataFrame:
 
 
 def finish(turn: int) -> Column:
-    """Virtual finish time of the entry in pass ``turn`` (from 0)."""
-    return (F.col("cum") + F.col("source_size") * turn) / F.col("target")
+    """Virtual finish time of the entry in pass ``turn`` (from 0); NULL in a source
+    without words."""
+    return F.try_divide(F.col("cum") + F.col("source_size") * turn, F.col("target"))
 
 
 def time_range(f: Column, ranges: int) -> Column:
@@ -140,21 +139,21 @@ def before(key, turn: int) -> Column:
 
 def fair_queue(docs: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, limit: int = 2,
                id_col="doc_id", text_col="text", source_col="source",
-               per_range: int = PER_RANGE) -> DataFrame:
-    """One row per row of ``docs``: ``id, h, source, size, source_size, target,
+               per_range: int = PER_RANGE, row_key: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: ``id, h, rk, source, size, source_size, target,
     passes`` (how often the mix takes the whole document, 0 to ``limit``) and
     ``start`` (its first finish time). ``share`` may not exceed ``limit``."""
     if not 0 < share <= limit:
         raise ValueError("share must lie in (0, limit]")
-    rows = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    queue = queued(rows, source_targets(rows, weights, share, limit), per_range)
+    rows = stored(sized(docs, id_col, text_col, source_col, F.lit(0).cast("long") if row_key is None else row_key), "mix-sizes")
+    queue = stored(queued(rows, source_targets(rows, weights, share, limit), per_range), "mix-queue")
     budget = (rows.agg(F.sum("size")).first()[0] or 0) * share
     key = first_left_out(queue, budget, limit, per_range)
     live = (F.col("size") > 0) & (F.col("target") > 0)
     passes = reduce(Column.__add__, [
         F.when(live & (F.lit(True) if key is None else before(key, t)), 1).otherwise(0)
         for t in range(limit)])
-    return queue.select("id", "h", "source", "size", "source_size", "target",
+    return queue.select("id", "h", "rk", "source", "size", "source_size", "target",
                         passes.alias("passes"), F.when(live, finish(0)).alias("start"))
 
 
@@ -166,12 +165,15 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken."""
-    taken = (fair_queue(docs, id_col=id_col, text_col=text_col, **options)
-             .where("passes > 0").groupBy("id", "h").agg(F.sum("passes").cast("int").alias("passes"))
-             .select(F.struct(F.col("id").alias("i"), F.col("h").alias("h")).alias("_mix_key"), "passes"))
-    keyed = docs.select(F.struct("*").alias("row"),
-                        F.struct(F.col(id_col).alias("i"), shuffle_key(id_col, text_column(text_col)).alias("h")).alias("_mix_key"))
+    """The mix itself: rows of ``docs``, each as often as it is taken. Rows are told
+    apart by a hash of all their columns; wholly equal ones are interchangeable, so
+    one of them stands for all that the mix takes of them."""
+    whole = F.xxhash64(*[F.col(c) for c in docs.columns])
+    key = lambda i, h, rk: F.struct(i.alias("i"), h.alias("h"), rk.alias("rk")).alias("_mix_key")
+    taken = (fair_queue(docs, id_col=id_col, text_col=text_col, row_key=whole, **options)
+             .where("passes > 0").groupBy("id", "h", "rk").agg(F.sum("passes").cast("int").alias("passes"))
+             .select(key(F.col("id"), F.col("h"), F.col("rk")), "passes"))
+    keyed = docs.select(F.struct("*").alias("row"), key(F.col(id_col), shuffle_key(id_col, text_column(text_col)), whole))
     once = keyed.dropDuplicates(["_mix_key"])
     return (once.join(taken, "_mix_key")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("_pass")).select("row.*"))
