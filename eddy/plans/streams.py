@@ -1,7 +1,6 @@
-"""Streaming twins as registered queries. Their oracles are the batch SQL
-restricted to what a stream can have emitted at end of input: windows and
-sessions closed by the final watermark (max event time - delay), timers due
-by then."""
+"""Streaming twins as registered queries. Their oracles are the batch SQL: at the
+end of input the runner moves the watermark past the last event, so every window,
+session, timer and waiting row is emitted."""
 
 from __future__ import annotations
 
@@ -29,29 +28,22 @@ def _join_input(spark, d):
                     F.col(V).cast("decimal(10,2)").cast("string").alias("v")))
 
 
-TUMBLE_CLOSED = f"""
-SELECT * FROM ({ORACLE_SQL['tumbling_count']})
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '{WM_DELAY}'"""
-
-
-@register("stream_tumbling_count", TUMBLE_CLOSED)
+@register("stream_tumbling_count", ORACLE_SQL["tumbling_count"])
 def q_stream_tumbling_count(spark, d):
     """W1 + E1 as a stream (three time-ordered chunks, restart in between)."""
     return twins.stream_tumbling_count(spark, ev(spark, d).select(EID, K, TS), K, TUMBLE,
                                        WM_DELAY, chunks=CHUNKS)
 
 
-@register("stream_resume_count", TUMBLE_CLOSED)
+@register("stream_resume_count", ORACLE_SQL["tumbling_count"])
 def q_stream_resume_count(spark, d):
     """K2: run on the first half, stop, add the rest, restart from the
-    checkpoint; equals one uninterrupted run on closed windows."""
+    checkpoint; equals one uninterrupted run."""
     return twins.stream_tumbling_count(spark, ev(spark, d).select(EID, K, TS), K, TUMBLE,
                                        WM_DELAY, chunks=2, splits=[0.5], name="resume")
 
 
-@register("stream_session_count", f"""
-SELECT * FROM ({ORACLE_SQL['session_count']})
-WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL '{WM_DELAY}'""")
+@register("stream_session_count", ORACLE_SQL["session_count"])
 def q_stream_session_count(spark, d):
     """W3 as a stream."""
     return twins.stream_session_count(spark, ev(spark, d).select(EID, K, TS), K, GAP,
@@ -93,11 +85,7 @@ def q_stream_interval_join(spark, d):
                     F.concat_ws(" ", "l_v", "r_v").alias("joined"))
 
 
-@register("stream_cogroup_session", f"""
-SELECT * FROM ({ORACLE_SQL['cogroup_session']})
-WHERE session_end <= (SELECT max(ts) FROM events
-                      WHERE event_type IN ('{LEFT_TYPE}', '{RIGHT_TYPE}'))
-                     - INTERVAL '{WM_DELAY}'""")
+@register("stream_cogroup_session", ORACLE_SQL["cogroup_session"])
 def q_stream_cogroup_session(spark, d):
     """J3 as a stream."""
     lp, rp = _sides_pred()
@@ -131,9 +119,7 @@ def q_stream_jump_alarm(spark, d):
             .select(EID, K, "last_value", V))
 
 
-@register("stream_rise_alarm", f"""
-SELECT * FROM ({ORACLE_SQL['rise_alarm']})
-WHERE alarm_ts <= (SELECT max(ts) FROM events)""")
+@register("stream_rise_alarm", ORACLE_SQL["rise_alarm"])
 def q_stream_rise_alarm(spark, d):
     """A2 with keyed state and event-time timers (watermark delay 0)."""
     a = twins.stream_rise_alarm(spark, ev(spark, d).select(EID, K, TS, V), RISE,
@@ -142,21 +128,14 @@ def q_stream_rise_alarm(spark, d):
 
 
 UNORDERED_DELAY = "12 hours"
-UNORDERED_DELAY_MS = 12 * 3600 * 1000
 JITTER_US = 6 * 3600 * 1_000_000     # arrival lag < watermark delay: nothing is late
 
 
-@register("stream_rolling_max_by_unordered", f"""
-SELECT * FROM ({ORACLE_SQL['rolling_max_by']})
-WHERE event_id IN (
-  SELECT event_id FROM events
-  WHERE epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM events) // 1000
-                         - {UNORDERED_DELAY_MS}) * 1000)""")
+@register("stream_rolling_max_by_unordered", ORACLE_SQL["rolling_max_by"])
 def q_stream_rolling_max_by_unordered(spark, d):
     """R2 over out-of-order input: rows arrive up to 6 hours late relative to
     event time (a deterministic lag per event); list state buffers them until
-    the 12-hour watermark passes, then they are applied in event-time order.
-    Oracle: the batch result for rows at or below the final watermark."""
+    the 12-hour watermark passes, then they are applied in event-time order."""
     e = ev(spark, d).select(EID, K, TS, V)
     lag = (F.expr("(event_id * 7919) % 10007") * F.lit(JITTER_US // 10007)).cast("bigint")
     e = e.withColumn("arrival", ntz_from_us(epoch_us(TS) + lag))
@@ -164,14 +143,10 @@ def q_stream_rolling_max_by_unordered(spark, d):
     return r.select(EID, K, F.col("best_ts").alias(TS), F.col("best_v").alias(V))
 
 
-@register("stream_rise_alarm_unordered", f"""
-SELECT * FROM ({ORACLE_SQL['rise_alarm']})
-WHERE epoch_us(alarm_ts) <= ((SELECT epoch_us(max(ts)) FROM events) // 1000
-                             - {UNORDERED_DELAY_MS}) * 1000""")
+@register("stream_rise_alarm_unordered", ORACLE_SQL["rise_alarm"])
 def q_stream_rise_alarm_unordered(spark, d):
     """A2 over out-of-order input (same 6-hour arrival lag and 12-hour
-    watermark as the unordered rolling twin). Oracle: batch alarms due by the
-    final watermark."""
+    watermark as the unordered rolling twin)."""
     e = ev(spark, d).select(EID, K, TS, V)
     lag = (F.expr("(event_id * 7919) % 10007") * F.lit(JITTER_US // 10007)).cast("bigint")
     e = e.withColumn("arrival", ntz_from_us(epoch_us(TS) + lag))

@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import sys
 from dataclasses import dataclass
+from datetime import timedelta
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,10 @@ from ..session import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: how far past the last event the end of input lies: beyond any window, gap,
+#: watermark delay or timer
+FLUSH_DAYS = 3650
+
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 SHUFFLE = "spark.sql.shuffle.partitions"
 
@@ -50,11 +55,13 @@ class ChunkedStream:
              chunk's batch closes them otherwise) or "never" (operators that
              emit eagerly: joins, per-row state)
     state_partitions: partitions of the stream's shuffles and state stores,
-             fixed by the checkpoint at the first start. Default: one per core
-             of the cluster (``defaultParallelism``), capped by the session's
-             ``spark.sql.shuffle.partitions`` -- every micro-batch opens and
-             commits one state store per partition, so 200 partitions on a
-             few cores cost more than they bring.
+             fixed by the checkpoint at the first start. Default: the session's
+             ``spark.sql.shuffle.partitions``, whatever cluster starts it first.
+    flush:   end of input: after the last chunk one copied row with all its
+             times far past the last event moves the watermark, so that every
+             window, session, timer and waiting row of the input is emitted.
+             Only for operators that emit at the watermark: the copied row's
+             own window never closes, so it leaves no output.
     state_store: state store provider for the stream (default RocksDB: large
              state stays off the JVM heap; changelog checkpointing uploads only
              each batch's changes). ``None`` keeps the session's provider.
@@ -69,6 +76,7 @@ class ChunkedStream:
     no_data: str = "last"
     state_partitions: int | None = None
     state_store: str | None = ROCKSDB
+    flush: bool = False
 
     def _bounds(self) -> list[int]:
         # one small aggregate (two numbers) to place the cuts
@@ -94,13 +102,21 @@ class ChunkedStream:
             if hi is not None:
                 cond = cond & (us < F.lit(hi))
             self.table.filter(cond).write.mode("append").parquet(src)
-            yield self.spark.readStream.schema(schema).parquet(src), hi is None
+            yield self.spark.readStream.schema(schema).parquet(src), hi is None and not self.flush
+        if self.flush:
+            self._end_row().write.mode("append").parquet(src)
+            yield self.spark.readStream.schema(schema).parquet(src), True
+
+    def _end_row(self) -> DataFrame:
+        """One row of the table with its times ``FLUSH_DAYS`` past the last one."""
+        times = [f.name for f in self.table.schema if f.dataType.typeName().startswith("timestamp")]
+        end = self.table.agg(*[F.max(t).alias(t) for t in times]).first()
+        far = {t: F.lit(max(end) + timedelta(days=FLUSH_DAYS)).cast(self.table.schema[t].dataType)
+               for t in times} if None not in end else {}
+        return self.table.limit(1).withColumns(far)
 
     def _partitions(self) -> int:
-        if self.state_partitions:
-            return self.state_partitions
-        session = int(self.spark.conf.get(SHUFFLE, "200"))
-        return max(1, min(session, self.spark.sparkContext.defaultParallelism))
+        return self.state_partitions or int(self.spark.conf.get(SHUFFLE, "200"))
 
     def _start(self, writer, last: bool):
         want = {"always": True, "never": False, "last": last}[self.no_data]
