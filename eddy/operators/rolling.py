@@ -114,6 +114,31 @@ def running_count_global(df: DataFrame, order: list[str], *,
                       (F.col("_off") + F.col("_idx") + 1).cast("bigint").alias(out))
 
 
+def history_log(df: DataFrame, key, ts: str, item: str, *, tiebreak=(), bucket="1 hour",
+                keep: list[str] | None = None) -> DataFrame:
+    """Whole list state (K4) as its append log: ``keep``, the keys, ``n_before`` (the
+    item's position, which is the length of the list the row finds) and the item. The
+    list of a row is the items of its key at positions below; the log is linear in the
+    input where copies of the lists would be quadratic (:func:`read_history` makes the
+    lists of chosen rows)."""
+    counted = running_count(df, key, ts, tiebreak=tiebreak, bucket=bucket, keep=[*(keep or []), item], out="n_before")
+    return counted.withColumn("n_before", F.col("n_before") - 1)
+
+
+def read_history(log: DataFrame, key, item: str, rows, *, keep: list[str] | None = None) -> DataFrame:
+    """``keep``, the keys, ``n_before`` and ``history`` of the rows of a
+    :func:`history_log` where ``rows`` holds: the whole lists they find, oldest
+    first. Its size is that of the lists asked for."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [*(keep or []), *[k for k in keys if k not in (keep or [])]]
+    asked = log.where(rows).select(*cols, F.struct(*keys).alias("_k"), "n_before", F.monotonically_increasing_id().alias("_row"))
+    items = log.select(F.struct(*keys).alias("_k2"), F.col("n_before").alias("_at"), F.struct(F.col(item).alias("i")).alias("_item"))
+    met = asked.join(items, (F.col("_k") == F.col("_k2")) & (F.col("_at") < F.col("n_before")), "left")
+    found = F.sort_array(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_item"))))
+    got = met.groupBy("_row", *cols, "n_before").agg(F.transform(found, lambda x: x["_item"]["i"]).alias("history"))
+    return got.drop("_row")
+
+
 def running_history(df: DataFrame, key, ts: str, item: str, *, depth: int,
                     tiebreak=(), bucket="1 hour",
                     keep: list[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import alert_text, strictly_above
 from ..functions.fixed import COGROUP_HEADER_LEFT, COGROUP_HEADER_RIGHT, COGROUP_ITEM_SEP
-from ..operators import alarms, eventtime, joins, partition, rolling, route, transform, windows
+from ..operators import aggregate, alarms, eventtime, joins, partition, rolling, route, transform, windows
 from ..session import scratch_path
 from ..sources import tables, text
 from .catalog import ORACLE_SQL, register
@@ -28,7 +28,6 @@ LOWER, UPPER = "-3 hours", "3 hours"
 RISE = "1 day"
 TIMER_DELAY = "2 seconds"
 LATE_DELAY = "1 day"
-HISTORY_DEPTH = 5
 SCAN_BUCKET = "1 day"     # time bucket of the two-level keyed scans
 VALUE_BUCKET = 50.0       # value range of the two-level in-window sort
 LEFT_TYPE, RIGHT_TYPE = "purchase", "error"
@@ -276,17 +275,89 @@ def q_running_count_global(spark, d):
 
 
 @register("running_history", f"""
-SELECT event_id, user_id, (count(*) OVER ({RUN})) - 1 AS n_before,
-       coalesce(array_to_string(list(event_id::varchar) OVER (
-           PARTITION BY user_id ORDER BY ts, event_id
-           ROWS BETWEEN {HISTORY_DEPTH} PRECEDING AND 1 PRECEDING), ','), '') AS history
-FROM events""")
+SELECT event_id, user_id, (count(*) OVER ({RUN})) - 1 AS n_before, event_id::varchar AS item FROM events""")
 def q_running_history(spark, d):
-    """K4: list state read before append; the last HISTORY_DEPTH earlier items."""
+    """K4: list state read before append, whole: the append log. A row's history are
+    the items of its key at positions below its ``n_before``."""
     e = ev(spark, d).withColumn("item", F.col(EID).cast("string"))
-    h = rolling.running_history(e, K, TS, "item", depth=HISTORY_DEPTH, tiebreak=[EID],
-                                bucket=SCAN_BUCKET, keep=[EID])
-    return h.select(EID, K, "n_before", F.array_join("history", ",").alias("history"))
+    return rolling.history_log(e, K, TS, "item", tiebreak=[EID], bucket=SCAN_BUCKET, keep=[EID])
+
+
+# ---------------------------------------------------------------- user functions
+class Spread(aggregate.Aggregate):
+    """Rows, mean, smallest and largest value, and the event type seen most (of ties
+    the first by name)."""
+
+    output = "n long, mean double, low double, high double, most string"
+
+    def create(self):
+        return 0, 0, float("inf"), float("-inf"), {}
+
+    def add(self, acc, row):
+        return self.merge(acc, (1, round(row.value * 100), row.value, row.value, {row.event_type: 1}))
+
+    def merge(self, a, b):
+        types = dict(a[4])
+        for t, n in b[4].items():
+            types[t] = types.get(t, 0) + n
+        return a[0] + b[0], a[1] + b[1], min(a[2], b[2]), max(a[3], b[3]), types
+
+    def result(self, acc):
+        return acc[0], acc[1] / acc[0] / 100, acc[2], acc[3], min(acc[4], key=lambda t: (-acc[4][t], t))
+
+
+@register("user_aggregate", f"""
+WITH e AS (SELECT *, time_bucket(INTERVAL '{TUMBLE}', ts) AS window_start FROM events),
+t AS (SELECT user_id, window_start, event_type, count(*) AS k FROM e GROUP BY ALL),
+m AS (SELECT user_id, window_start, arg_min(event_type, (-k, event_type)) AS most FROM t GROUP BY ALL)
+SELECT user_id, window_start, window_start + INTERVAL '{TUMBLE}' AS window_end, count(*) AS n,
+       sum(round(value * 100)::BIGINT)::BIGINT / count(*) / 100 AS mean, min(value) AS low, max(value) AS high, any_value(most) AS most
+FROM e JOIN m USING (user_id, window_start) GROUP BY user_id, window_start""")
+def q_user_aggregate(spark, d):
+    """U4: a user aggregate function (create, add, merge, result) per window."""
+    return aggregate.window_aggregate(ev(spark, d).select(K, TS, V, "event_type"), K, TS, TUMBLE, Spread())
+
+
+def collatz(event_id, event_type):
+    """Odd numbers on an event id's way to 1, none for views: a loop whose length
+    only running it tells."""
+    n, step = int(event_id), 0
+    while event_type != "view" and n > 1:
+        if n % 2:
+            yield step, n
+        n, step = (3 * n + 1 if n % 2 else n // 2), step + 1
+
+
+@register("user_flat_map", """
+WITH RECURSIVE c AS (SELECT event_id, event_id AS n, 0::BIGINT AS step FROM events WHERE event_type <> 'view' AND event_id > 1
+                     UNION ALL SELECT event_id, CASE WHEN n % 2 = 1 THEN 3 * n + 1 ELSE n // 2 END, step + 1 FROM c WHERE n > 2 OR n % 2 = 1 AND n > 1)
+SELECT event_id, step, n FROM c WHERE n % 2 = 1 AND n > 1""")
+def q_user_flat_map(spark, d):
+    """A user function that gives none, one or many rows."""
+    return aggregate.flat_map(ev(spark, d), collatz, "step long, n long", EID, "event_type", keep=[EID])
+
+
+class Jump(aggregate.KeyedFlatMap):
+    """The reference's keyed flatMap: both values when they differ by ``by`` or more."""
+
+    output = "event_id long, last_value double, value double"
+
+    def __init__(self, by: float):
+        self.by = by
+
+    def apply(self, row, state):
+        hit = state is not None and abs(row.value - state) >= self.by
+        return ([(int(row.event_id), state, row.value)] if hit else []), row.value
+
+
+@register("keyed_flat_map", f"""
+SELECT event_id, 'user_' || user_id AS user, last_value, value FROM (
+  SELECT event_id, user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_value FROM events)
+WHERE abs(value - last_value) >= {THRESHOLD}""")
+def q_keyed_flat_map(spark, d):
+    """A user flatMap with keyed state, one key spread over several ranges."""
+    e = ev(spark, d).select(F.concat(F.lit("user_"), F.col(K).cast("string")).alias("user"), TS, EID, V)
+    return aggregate.keyed_flat_map(e, "user", TS, Jump(THRESHOLD), tiebreak=EID)
 
 
 @register("attribute_map", """

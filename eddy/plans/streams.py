@@ -6,8 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import alert_text, epoch_us, ntz_from_us
-from ..streaming import twins
+from ..functions.columns import alert_text, epoch_us, ntz_from_us, to_event_time
+from ..streaming import process, twins
+from ..streaming.process import KeyedProcess
+from ..streaming.runner import ChunkedStream
 from .batch import (EID, GAP, K, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, RISE_US, SIDES_SQL, THRESHOLD,
                     TS, TUMBLE, UPPER, V, ev)
 from .catalog import ORACLE_SQL, register
@@ -173,3 +175,71 @@ def q_stream_side_output(spark, d):
                       chunks=CHUNKS)
     return labelled(outs["main"].select(EID, K, V), "main").unionByName(
         labelled(outs["side"].select(EID, K, V), "side"))
+
+
+# ------------------------------------------------- keyed process function
+class Quiet(KeyedProcess):
+    """Each row reports the length of its key and the time of the row before; when a
+    key is quiet for ``wait`` microseconds, a timer reports how many rows came since it
+    was last quiet and how many event types the key has had."""
+
+    states = {"due": ("value", "long"), "since": ("list", "long"), "types": ("map", "long")}
+    output = "kind string, user string, at long, n long, seen long"
+
+    def __init__(self, wait: int):
+        self.wait = wait
+
+    def process(self, row, ctx):
+        due = ctx.state("due").get()
+        if due is not None:
+            ctx.delete_timer(due)
+        ctx.state("since").append(int(row.event_id))
+        types = ctx.state("types")
+        types.put(row.event_type, types.get(row.event_type, 0) + 1)
+        ctx.state("due").update(ctx.timestamp + self.wait)
+        ctx.register_timer(ctx.timestamp + self.wait)
+        yield "row", ctx.key[0], ctx.timestamp, len(ctx.key[0]), -1 if due is None else due - self.wait
+        if row.event_type == LEFT_TYPE:
+            ctx.output("left", ("side", ctx.key[0], ctx.timestamp, int(row.event_id), types.get(LEFT_TYPE)))
+
+    def on_timer(self, at_us, ctx):
+        rows = ctx.state("since").get()
+        ctx.state("since").clear()
+        ctx.state("due").clear()
+        yield "quiet", ctx.key[0], at_us, len(rows), len(ctx.state("types").items())
+
+
+QUIET_US = 12 * 3600 * 1_000_000
+QUIET_SQL = f"""
+WITH e AS (SELECT 'user_' || user_id AS user, epoch_us(ts) AS t, event_id, event_type,
+                  lag(epoch_us(ts)) OVER w AS before, lead(epoch_us(ts)) OVER w AS after,
+                  len(list_distinct(list(event_type) OVER (w ROWS UNBOUNDED PRECEDING))) AS seen,
+                  count(*) FILTER (event_type = '{LEFT_TYPE}') OVER (w ROWS UNBOUNDED PRECEDING) AS lefts
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+q AS (SELECT *, coalesce(before + {QUIET_US} < t, true)::INT AS fresh, coalesce(after > t + {QUIET_US}, true) AS quiet FROM e),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM q),
+n AS (SELECT *, count(*) OVER (PARTITION BY user, grp) AS n FROM g)
+SELECT 'row' AS kind, user, t AS at, length(user)::BIGINT AS n, CASE WHEN fresh = 1 THEN -1 ELSE before END::BIGINT AS seen, NULL::VARCHAR AS tag FROM n
+UNION ALL SELECT 'side', user, t, event_id, lefts, 'left' FROM n WHERE event_type = '{LEFT_TYPE}'
+UNION ALL SELECT 'quiet', user, t + {QUIET_US}, n, seen, NULL FROM n WHERE quiet"""
+
+
+def _named_events(spark, d):
+    """Events with string keys."""
+    return ev(spark, d).select(F.concat(F.lit("user_"), F.col(K).cast("string")).alias("user"), TS, EID, "event_type")
+
+
+@register("keyed_process", QUIET_SQL)
+def q_keyed_process(spark, d):
+    """U10 + A1 + A4 + A5: user code with value, list and map state, timers that are
+    set and deleted, context reads and a side output."""
+    return process.keyed_process(_named_events(spark, d), "user", TS, Quiet(QUIET_US), tiebreak=EID)
+
+
+@register("stream_keyed_process", QUIET_SQL)
+def q_stream_keyed_process(spark, d):
+    """The same user code on a stream with restarts in between."""
+    def build(s):
+        s = s.withColumn("ets", to_event_time(TS)).drop(TS).withWatermark("ets", WM_DELAY)
+        return process.stream_keyed_process(s, "user", "ets", Quiet(QUIET_US), tiebreak=EID)
+    return ChunkedStream(spark, "process", _named_events(spark, d), TS, CHUNKS, flush=True).run(build)
