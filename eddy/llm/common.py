@@ -43,6 +43,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of an Arrow batch in operators that send whole texts to Python
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows of an Arrow batch to ``BATCH_ROWS``, if it allows
+    more: a batch of whole texts is held several times, in the JVM and in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_column(name: str) -> Column:
     """The text, NULL as empty."""
     return F.coalesce(F.col(name), F.lit(""))

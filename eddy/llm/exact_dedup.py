@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, batch_texts, ship_by_value, text_column
+from .common import WHITE, batch_texts, ship_by_value, small_batches, text_column
 
 #: bytes a trie may hold before it spills
 TRIE_BUDGET = 32 << 20
@@ -250,6 +250,7 @@ def exact_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text",
     kind = docs.schema[id_col].dataType.simpleString()
     own = exact_owners(docs, id_col=id_col, text_col=text_col, budget=budget)
     field = carry.index(text_col) if text_col in carry else None
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), *([F.col(text_col).alias("text")] if field is None else []),
                        *([F.struct(*[F.col(c) for c in carry]).alias("extra")] if carry else []))
     fields = f"id {kind}, n_cp long, sha binary"

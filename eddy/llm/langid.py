@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_texts, ship_by_value
+from .common import batch_texts, ship_by_value, small_batches
 
 #: rows that learning may use, over all languages
 MAX_TRAIN = 768
@@ -214,6 +214,7 @@ def predict_language(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_
     """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score``, a
     struct ``extra`` of the columns named in ``carry`` and, if asked for, ``known``."""
     spark = docs.sparkSession
+    small_batches(spark)
     table = class_table()
     sample = training_rows(docs, id_col, text_col, lang_col, max_train, table)
     field = carry.index(text_col) if text_col in carry else None

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts_for, ship_by_value, stored, text_column
+from .common import parts_for, ship_by_value, small_batches, stored, text_column
 
 CAPACITY = 4096
 END_ID = 1
@@ -367,6 +367,7 @@ def best_fit_pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_i
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: every
     piece with its place in a sequence of at most ``capacity`` tokens. ``path``
     is the tokenizer file, readable by every task."""
+    small_batches(docs.sparkSession)
     pieces = stored(token_pieces(docs, path, capacity=capacity, end_id=end_id, id_col=id_col, text_col=text_col), "pieces")
     groups = parts_for(docs.sparkSession, pieces.count(), group_rows)
     # equal rows must not meet in one group: the place in the stored table is part of the hash

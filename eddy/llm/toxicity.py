@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_by_value, stored
+from .common import ship_by_value, small_batches, stored
 from .langid import class_table, held_out
 
 #: learning rows of each label, further clean rows, landmarks, hard pieces of the latter
@@ -426,6 +426,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="t
              max_rows: int = MAX_ROWS, more: int = MORE, count: int = LANDMARKS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = learn(docs, labels, id_col, text_col, label_col, max_rows, more, count)
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     if model is None:
