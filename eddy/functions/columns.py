@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed import COGROUP_ITEM_SEP, JOIN_TEXT_SEP
+from .fixed import ALERT_RISING, ALERT_ROSE, ALERT_SENSOR, COGROUP_ITEM_SEP, JOIN_TEXT_SEP
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -104,8 +104,7 @@ def fold_block(header: str, items, key_sep: str = COGROUP_ITEM_SEP) -> Column:
 
 def alert_text(key, interval_s) -> Column:
     """Message of the continuous-rise alarm."""
-    return F.format_string("sensor %s: value rose continuously for %ss",
-                           _c(key).cast("string"), F.lit(interval_s))
+    return F.concat(F.lit(ALERT_SENSOR), _c(key).cast("string"), F.lit(ALERT_RISING), F.lit(str(interval_s)), F.lit(ALERT_ROSE))
 
 
 def split_like_java(line, sep: str = ",") -> Column:

@@ -16,3 +16,8 @@ COGROUP_ITEM_SEP = "=>"
 
 # Window-join output: left value, one space, right value.
 JOIN_TEXT_SEP = " "
+
+# Continuous-rise alarm: these, with the key after the first and the seconds after the second.
+ALERT_SENSOR = "传感器"
+ALERT_RISING = "温度值连续"
+ALERT_ROSE = "s上升"

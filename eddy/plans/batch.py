@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import alert_text, strictly_above
-from ..functions.fixed import COGROUP_HEADER_LEFT, COGROUP_HEADER_RIGHT, COGROUP_ITEM_SEP
+from ..functions.fixed import ALERT_RISING, ALERT_ROSE, ALERT_SENSOR, COGROUP_HEADER_LEFT, COGROUP_HEADER_RIGHT, COGROUP_ITEM_SEP
 from ..operators import aggregate, alarms, eventtime, joins, partition, rolling, route, transform, windows
 from ..session import scratch_path
 from ..sources import tables, text
@@ -370,6 +370,18 @@ def q_attribute_map(spark, d):
     return rolling.attribute_map(ev(spark, d), K, "event_type", V, TS, tiebreak=[EID])
 
 
+@register("attribute_map_remove", f"""
+SELECT user_id, event_type, value, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                               ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND NOT (NOT isnan(value) AND value > {THRESHOLD})""")
+def q_attribute_map_remove(spark, d):
+    """K6 with removal: a value above the threshold removes its attribute, a later
+    one puts it back."""
+    return rolling.attribute_map(ev(spark, d), K, "event_type", V, TS, tiebreak=[EID],
+                                 delete_when=F.coalesce(strictly_above(V, THRESHOLD), F.lit(False)))
+
+
 # ---------------------------------------------------------------- alarms and timers
 @register("jump_alarm", f"""
 SELECT event_id, user_id, last_value, value FROM (
@@ -415,7 +427,7 @@ fin AS (
     SELECT user_id, timer, row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS k
     FROM s) WHERE k = 1 AND timer IS NOT NULL)
 SELECT user_id, alarm_ts,
-       'sensor ' || user_id::varchar || ': value rose continuously for {RISE_US // 1_000_000}s'
+       '{ALERT_SENSOR}' || user_id::varchar || '{ALERT_RISING}{RISE_US // 1_000_000}{ALERT_ROSE}'
          AS message
 FROM (SELECT user_id, make_timestamp(fired) AS alarm_ts FROM s WHERE fired IS NOT NULL
       UNION ALL

@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import alert_text, epoch_us, ntz_from_us, to_event_time
+from ..functions.columns import alert_text, duration_us, epoch_us, ntz_from_us, to_event_time
 from ..streaming import process, twins
 from ..streaming.process import KeyedProcess
 from ..streaming.runner import ChunkedStream
-from .batch import (EID, GAP, K, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, RISE_US, SIDES_SQL, THRESHOLD,
+from .batch import ARRIVAL_SQL as ARRIVAL
+from .batch import (EID, GAP, K, LATE_DELAY, LEFT_TYPE, LOWER, RIGHT_TYPE, RISE, RISE_US, SIDES_SQL, THRESHOLD,
                     TS, TUMBLE, UPPER, V, ev)
 from .catalog import ORACLE_SQL, register
 
@@ -243,3 +244,19 @@ def q_stream_keyed_process(spark, d):
         s = s.withColumn("ets", to_event_time(TS)).drop(TS).withWatermark("ets", WM_DELAY)
         return process.stream_keyed_process(s, "user", "ets", Quiet(QUIET_US), tiebreak=EID)
     return ChunkedStream(spark, "process", _named_events(spark, d), TS, CHUNKS, flush=True).run(build)
+
+
+def _late_split(spark, d):
+    e = ev(spark, d).select(F.concat(F.lit("user_"), F.col(K).cast("string")).alias("user"), K, TS, EID,
+                            F.expr(ARRIVAL).cast("bigint").alias("arrival"))
+    # chunks are cut by arrival, seen as seconds
+    e = e.withColumn("arrived", ntz_from_us(F.col("arrival") * 1_000_000))
+    return ChunkedStream(spark, "late", e, "arrived", CHUNKS, no_data="never").run(
+        lambda s: process.stream_late_split(s, "user", TS, ["arrival", EID], duration_us(LATE_DELAY)))
+
+
+@register("stream_late_events", ORACLE_SQL["late_events"])
+def q_stream_late_events(spark, d):
+    """E4 on a stream: the late output."""
+    late = _late_split(spark, d).where("late")
+    return late.select(EID, K, TS, ntz_from_us("watermark_us").alias("watermark"))

@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.columns import epoch_us
@@ -339,4 +340,33 @@ def stream_keyed_process(stream: DataFrame, keys, ts: str, fn: KeyedProcess, *,
     return timed.groupBy(*keys).transformWithStateInPandas(processor, out_ddl(fn), "Append", "EventTime")
 
 
+# --------------------------------------------------------------------- late rows
+def stream_late_split(stream: DataFrame, keys, ts: str, arrival: list[str], delay_us: int) -> DataFrame:
+    """Every row of a caller's stream with its key's watermark when it arrives (the
+    largest event time of the key's earlier rows less ``delay_us``; NULL for the
+    first) and ``late``, whether its own time is not above that: the late output is
+    ``where("late")``, what stays ``where("not late")``, and nothing is dropped.
+    Micro-batches come in order of ``arrival``, rows inside one in any order. The
+    state is one number a key (E4)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cols = stream.columns
+    timed = stream.withColumn(TIME, epoch_us(ts))
+    out = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in cols) + ", watermark_us long, late boolean"
+
+    def split(key, batches, state):
+        most = state.get[0] if state.exists else None
+        rows = pd.concat(list(batches), ignore_index=True).sort_values(arrival, kind="stable", ignore_index=True)
+        # the largest time before each row; rows without a time are never late
+        times = rows[TIME].astype("Int64")
+        before = pd.concat([pd.Series([most], dtype="Int64"), times]).cummax().ffill().iloc[:-1].reset_index(drop=True)
+        mark = before - delay_us
+        yield rows[cols].assign(watermark_us=mark, late=(times <= mark).fillna(False).astype(bool))
+        top = times.max()
+        known = [int(x) for x in (most, None if top is pd.NA else top) if x is not None]
+        if known:
+            state.update((max(known),))
+
+    return timed.groupBy(*keys).applyInPandasWithState(split, out, "most long", "append", GroupStateTimeout.NoTimeout)
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
