@@ -16,19 +16,21 @@ length m, only vectors with cosine of at least ``threshold / (|q| m)`` matter:
 
 Every score is an exact integer product. Ties go to the smaller id.
 
-Scale: the query set is stated (a share of the rows), candidates and queries
-meet in blocks: candidates by bucket, queries in blocks of ``query_rows``, one
-task per pair of blocks, nothing broadcast. A first round takes the starting
-threshold of all queries from one block of the longest vectors; each block then
-returns its best k per query, which are merged by rank. Buckets are cut by row
-count, so equal vectors and hot norms spread over buckets like others. The
-driver reads counts and the bucket bounds (one number per bucket).
+Scale: the query set is stated (a share of the rows), candidates and queries meet
+in blocks, one task per pair of blocks, nothing broadcast. Blocks of candidates are
+ranges of their length (a hash parts equal lengths, so hot norms and equal vectors
+spread). A first round takes the starting threshold of all queries from the block of
+the longest vectors; then queries are ranged by the length their threshold asks for,
+and pairs of blocks whose lengths rule each other out are dropped before any row is
+copied: a block of queries meets the blocks up to a last one. Each pair returns its
+best k per query, which are merged by rank. The driver reads one number a block.
 
 Edge cases: vectors that are NULL, or hold a NULL or a non-finite component,
 take no part; an empty vector is one of length 0; a shorter vector is extended
 by zeros. Scores beyond 2^53 are computed in 64-bit integers. NULL ids take no
 part as queries and come last in ties; repeated rows are candidates of their
-own, and a query skips every row with its own id. An empty table gives no rows.
+own, and a query skips every row with its own id; of query rows that share an id all
+are searched and their scores ranked together. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -167,46 +169,46 @@ def top_inner_products(vectors: DataFrame, is_query: Column, *, k: int = K, scal
     spark = vectors.sparkSession
     kept = vectors.select(id_col, vec_col, F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = stored(integer_vectors(kept, id_col, vec_col, scale), "vectors")
-    queries = rows.where(f"is_query and id != {NO_ID}").dropDuplicates(["id"])
+    queries = rows.where(f"is_query and id != {NO_ID}")
 
-    n = rows.count()
-    if not n:
+    n, n_queries = rows.agg(F.count("*"), F.coalesce(F.sum(F.expr(f"int(is_query and id != {NO_ID})")), F.lit(0))).first()
+    if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    n_buckets = parts_for(spark, n, bucket_rows)
-    # bounds of buckets by length; rows of equal length may share a bucket, so
-    # each is split once more by a hash of its rows
-    cuts = rows.agg(F.percentile_approx("norm2", [i / n_buckets for i in range(1, n_buckets)] or [0.5], 10000)).first()[0]
-    cuts = sorted(set(cuts)) if n_buckets > 1 else []
-    bucket = F.lit(len(cuts)) - sum((F.when(F.col("norm2") > c, 1).otherwise(0) for c in cuts), F.lit(0))
-    sized = rows.withColumn("bucket", bucket.cast("int"))
-    counts = {r["bucket"]: -(-r["count"] // (2 * bucket_rows)) for r in sized.groupBy("bucket").count().collect()}
-    starts, total = {}, 0
-    for b in sorted(counts):
-        starts[b], total = total, total + counts[b]
-    at = F.create_map(*[F.lit(x) for b in starts for x in (b, starts[b])])
-    width = F.create_map(*[F.lit(x) for b in counts for x in (b, counts[b])])
-    block = at[F.col("bucket")] + F.pmod(F.xxhash64("id", "v"), width[F.col("bucket")])
-    blocks = sized.select("id", "v", "norm2", block.cast("int").alias("block"))
-
-    n_query = parts_for(spark, queries.count(), query_rows)
-    asked = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_query)).cast("int"))
+    # blocks are ranges from the longest vectors to the shortest; the hash parts equal lengths
+    h = F.xxhash64("id", "v")
+    blocks = (rows.select("id", "v", "norm2", h.alias("h")).repartitionByRange(parts_for(spark, n, bucket_rows), F.col("norm2").desc(), "h")
+              .withColumn("block", F.spark_partition_id()).drop("h"))
+    blocks = stored(blocks, "topk-blocks")
+    longest = {r["block"]: r["m"] for r in blocks.groupBy("block").agg(F.max("norm2").alias("m")).collect()}
     run = cogrouped(k, coord_from, coords)
     out = "query_id long, vec_id long, score long"
 
     def search(q, c):
-        """Every block of queries against every block of ``c``."""
+        """Every block of queries against the blocks of ``c`` that it shares a row with."""
         q = q.select(*[F.col(x).alias(x) for x in q.columns])  # both sides stem from one table
         return q.groupBy("qb", "block").cogroup(c.groupBy("qb", "block")).applyInPandas(run, out)
 
-    def each_query_block(c):
-        return c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-
-    first = blocks.where("block = 0")
-    seed = search(asked.select("id", "v", "norm2", "qb", F.lit(0).alias("block"), F.lit(None).cast("double").alias("floor")), each_query_block(first))
+    # thresholds: the k-th best score of each query among the longest vectors
+    n_query = parts_for(spark, n_queries, query_rows)
+    seeds = queries.select("id", "v", "norm2", F.pmod(h, F.lit(n_query)).cast("int").alias("qb"), F.lit(min(longest)).alias("block"), F.lit(None).cast("double").alias("floor"))
+    head = blocks.where(F.col("block") == min(longest)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
+    seed = search(seeds, head)
     floors = (seed.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
               .select(F.col("query_id").alias("id"), F.col("least").cast("double").alias("floor")))
-    asked = asked.join(floors, "id", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(total - 1))))
-    found = search(asked.select("id", "v", "norm2", "qb", "block", "floor"), each_query_block(blocks))
+    # a query with a positive threshold needs vectors of some length; queries that need
+    # much length come last, so block b is needed by the query blocks up to some number
+    need = F.when(F.col("floor") > 0, F.col("floor") / F.sqrt("norm2")).otherwise(0.0)  # |q| > 0 where the k-th score is
+    asked = queries.select("id", "v", "norm2").join(floors, "id", "left").withColumn("need", F.coalesce(need, F.lit(0.0)))
+    asked = stored(asked.repartitionByRange(n_query, "need", F.xxhash64("id", "v")).withColumn("qb", F.spark_partition_id()), "topk-queries")
+    least = {r["qb"]: r["m"] for r in asked.groupBy("qb").agg(F.min("need").alias("m")).collect()}
+    qbs, bs = np.array(sorted(least)), np.array(sorted(longest))
+    wants, has = np.array([least[x] for x in qbs]), np.sqrt([longest[x] for x in bs]) * (1 + 1e-9)
+    pairs_of = lambda names, last: spark.createDataFrame([(int(x), int(y)) for x, y in zip(names, last)], "i int, last int")
+    last_b = pairs_of(qbs, [bs[np.flatnonzero(has >= w)[-1]] if (has >= w).any() else -1 for w in wants]).withColumnRenamed("i", "qb")
+    last_q = pairs_of(bs, [qbs[np.flatnonzero(wants <= m)[-1]] if (wants <= m).any() else -1 for m in has]).withColumnRenamed("i", "block")
+    asked = asked.join(last_b, "qb").where("last >= 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("last")))).select("id", "v", "norm2", "qb", "block", "floor")
+    offered = blocks.join(last_q, "block").where("last >= 0").withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("last")))).select("id", "v", "norm2", "qb", "block")
+    found = search(asked, offered)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     top = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return top.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")

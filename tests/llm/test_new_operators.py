@@ -16,7 +16,7 @@ sys.path[:0] = [HERE, ROOT, os.path.join(ROOT, "tools")]
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from eddy.llm import conversations, merkle, toxicity  # noqa: E402
+from eddy.llm import conversations, merkle, topk, toxicity  # noqa: E402
 from oracle_check import compare, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -202,6 +202,35 @@ def test_repair_sql(spark):
     assert compare(spark, SF, ["op12_conversation_repair"])["op12_conversation_repair"][0] == "match"
 
 
+# --------------------------------------------------------------------------- top k
+def plain_top(rows, k, scale=64):
+    ids = np.array([r[0] for r in rows])
+    v = np.floor(scale * np.array([r[1] for r in rows])).astype(np.int64)
+    out = []
+    for q in sorted({i for i in ids if i % 20 == 0}):
+        got = []
+        for x in v[ids == q]:
+            s = v @ x
+            got += [(-int(s[j]), int(ids[j])) for j in np.flatnonzero(ids != q)]
+        got.sort()
+        out += [(int(q), n + 1, i, -s) for n, (s, i) in enumerate(got[:k])]
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_top_k_over_many_blocks_and_repeated_ids(spark, spread):
+    """More blocks than a plan could hold as conditions; lengths alike or not."""
+    r = np.random.default_rng(3)
+    n = 12_000
+    v = r.normal(size=(n, 6)) * np.exp(spread * r.normal(size=(n, 1)))
+    ids = [i if i >= 400 else 20 * (i // 40) for i in range(n)]  # ten ids come forty times
+    ids = [i if i < 400 or i % 400 == 0 else i // 20 * 20 + 1 + i % 19 for i in ids]
+    rows = [(int(i), [float(c) for c in x]) for i, x in zip(ids, v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_inner_products(df, F.col("vec_id") % 20 == 0, k=5, bucket_rows=10, query_rows=16)
+    assert sorted(map(tuple, got.collect())) == sorted(plain_top(rows, 5))
+
+
 # ------------------------------------------------------------------------ toxicity
 def plain_kernel(a, b):
     """Product of the gap-weighted three-letter subsequences, one by one."""
