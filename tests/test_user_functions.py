@@ -171,3 +171,20 @@ def test_whole_list_state(spark, rows):
     got = rolling.read_history(log, "user", "item", (F.col("event_id") % 50 == 0) & F.col("user").isNotNull(), keep=["event_id"]).collect()
     assert {r.event_id: r.history for r in got} == want
     assert all(r.n_before == len(r.history) for r in got)
+
+
+def test_late_rows_of_a_stream(spark):
+    """Rows in arrival order against each key's own watermark; a NULL time is never
+    late, and no row is lost."""
+    delay = timedelta(hours=3)
+    rows = [r if r[2] % 37 else (r[0], None, *r[2:]) for r in hot_rows(300, 9) if r[0] is not None]
+    df = spark.createDataFrame([(*r, T0 + timedelta(seconds=r[2])) for r in rows], SCHEMA + ", arrived timestamp_ntz")
+    got = ChunkedStream(spark, "late", df, "arrived", 3, no_data="never").run(
+        lambda s: process.stream_late_split(s, "user", "ts", ["event_id"], delay // timedelta(microseconds=1))).collect()
+    most, want = {}, {}
+    for k, at, i, *_ in sorted(rows, key=lambda r: r[2]):
+        before = most.get(k)
+        want[i] = bool(before and at and at <= before - delay)
+        if at:
+            most[k] = max(before or at, at)
+    assert {r.event_id: r.late for r in got} == want and any(want.values()) and len(got) == len(rows)
