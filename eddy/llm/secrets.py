@@ -1,9 +1,9 @@
 """Secret scans over a trigram inverted index (operator 5).
 
-DataFrame and SQL functions only. Every rule's regular expression is read as a
-Boolean query over trigrams that each match must contain: an OR of ANDs, one
-AND for every literal the pattern can begin with. A rule without a mandatory
-trigram (a plain class run) has no query and scans fully.
+DataFrame and SQL functions only. From every rule's regular expression a Boolean
+query over trigrams that each match must contain is derived (:mod:`.trigrams`): an
+OR of ANDs. A rule without a mandatory trigram (a plain class run) has no query and
+scans fully.
 
 1. Index: one row ``(trigram, document)`` for each trigram of any query that
    occurs in the lower-cased text.
@@ -32,34 +32,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_column
+from .trigrams import trigram_query
+
+#: matches whose positions are summed as one list; lists of lists above that
+SPAN_BLOCK = 256
 
 
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret: leftmost non-overlapping matches of ``pattern`` of
-    which ``group`` has at least ``least`` characters. ``literals`` are the
-    strings of which every match contains at least one (in lower case)."""
+    which ``group`` has at least ``least`` characters."""
 
     kind: str
     pattern: str
-    group: int
-    least: int
-    literals: tuple[str, ...] = ()
+    group: int = 0
+    least: int = 0
 
     def query(self) -> list[list[str]]:
         """OR of ANDs of mandatory trigrams; empty if the rule has none."""
-        ands = [sorted({x[i:i + 3] for i in range(len(x) - 2)}) for x in self.literals]
-        return ands if all(ands) else []
+        return trigram_query(self.pattern)
 
 
 #: the rules of the contract, in the order of the contract (fixed values)
-RULES = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8,
-         ("password", "passwd", "secret", "token", "apikey", "api_key")),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 16, ("akia",)),
+BASE = (
+    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     # a match of [0-9a-f]+ with 32 or more characters is a whole run of that length
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+#: further kinds of secrets by their published forms (fixed values)
+MORE = (
+    Rule("pem", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("github", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}"),
+    Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
+    Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
+    Rule("login", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
+)
+RULES = BASE + MORE
 
 
 def candidates(rows: DataFrame, rules) -> DataFrame:
@@ -77,29 +87,45 @@ def candidates(rows: DataFrame, rules) -> DataFrame:
     return hits.groupBy("key").agg(F.collect_set("kind").alias("rules"))
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """Array of ``(start, end, kind)`` of the rule's matches: code points, end
-    exclusive. Match i starts behind the pieces before it and the matches
-    before it."""
-    order = RULE_ORDER[rule.kind]
+def bound(value: Column, make) -> Column:
+    """``make(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), make), 1)
+
+
+def spans(text: Column, rule: Rule, order: int) -> Column:
+    """Array of ``(start, rule number, end)`` of the rule's matches: code points, end
+    exclusive. Match i starts behind the pieces before it and the matches before it;
+    positions are summed inside blocks of ``SPAN_BLOCK`` matches and over the blocks,
+    so that no list is copied for every match of a long text."""
+    def lengths(group):
+        return F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(group)), lambda x: F.length(x).cast("long"))
+
     pieces = F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x).cast("long"))
-    whole = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda x: F.length(x).cast("long"))
-    part = (F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), lambda x: F.length(x).cast("long"))
-            if rule.group else whole)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint,n:bigint>>").alias("out"))
-    steps = F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("p"), whole.alias("m"), part.alias("g"))
+    steps = bound(lengths(0), lambda m: F.arrays_zip(F.slice(pieces, 1, F.size(m)).alias("p"), m.alias("m"), (lengths(rule.group) if rule.group else m).alias("g")))
 
     def step(acc, x):
         start = acc["at"] + x["p"]
         one = F.array(F.struct(start.alias("s"), (start + x["m"]).alias("e"), x["g"].alias("n")))
         return F.struct((start + x["m"]).alias("at"), F.concat(acc["out"], one).alias("out"))
 
-    found = F.aggregate(steps, zero, step, lambda acc: acc["out"])
-    kept = F.filter(found, lambda x: x["n"] >= rule.least)
-    return F.transform(kept, lambda x: F.struct(x["s"].alias("s"), F.lit(order).alias("k"), x["e"].alias("e")))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint,n:bigint>>").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def blocks(all_steps):
+        at = F.sequence(F.lit(0), F.floor((F.size(all_steps) - 1) / SPAN_BLOCK).cast("int"))
+        return F.transform(at, lambda b: F.aggregate(F.slice(all_steps, b * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)), zero, step))
+
+    def moved(parts):
+        before = F.aggregate(parts, start, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                             lambda acc: acc["out"])
+        return F.flatten(F.transform(F.arrays_zip(parts.alias("part"), before.alias("by")), lambda z: F.transform(
+            F.filter(z["part"]["out"], lambda x: x["n"] >= rule.least),
+            lambda x: F.struct((x["s"] + z["by"]).alias("s"), F.lit(order).alias("k"), (x["e"] + z["by"]).alias("e")))))
+
+    none = F.array().cast(NO_SPANS)
+    return bound(steps, lambda m: F.when(F.size(m) == 0, none).otherwise(bound(blocks(m), moved)))
 
 
-RULE_ORDER = {r.kind: i for i, r in enumerate(RULES)}
 NO_SPANS = "array<struct<s:bigint,k:int,e:bigint>>"
 
 
@@ -112,9 +138,9 @@ def find_secrets(docs: DataFrame, *, rules=RULES, id_col="doc_id", text_col="tex
     cand = candidates(rows, rules)
     j = rows.join(cand, "key", "left")
     parts = []
-    for r in rules:
+    for i, r in enumerate(rules):
         may = F.array_contains("rules", r.kind) if r.query() else F.col("text").rlike(r.pattern)
-        parts.append(F.when(may, spans(F.col("text"), r)).otherwise(F.array().cast(NO_SPANS)))
+        parts.append(F.when(may, spans(F.col("text"), r, i)).otherwise(F.array().cast(NO_SPANS)))
     return j.select("id", F.array_sort(F.concat(*parts)).alias("found"))
 
 
@@ -125,12 +151,13 @@ def joined(found: Column, rules) -> Column:
 
 
 def scan_secrets(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row."""
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row; the
+    counts and the hash are of the kinds in ``BASE``, ``spans`` has all."""
     f = find_secrets(docs, id_col=id_col, text_col=text_col)
 
     def count(k):
         return F.size(F.filter("found", lambda x: x["k"] == k)).cast("long")
 
-    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(RULES)]
-    f = f.select(F.col("id").alias("doc_id"), *counts, joined(F.col("found"), RULES).alias("spans"))
-    return f.select("doc_id", *[f"n_{r.kind}" for r in RULES], F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans")
+    base = F.filter("found", lambda x: x["k"] < len(BASE))
+    return f.select(F.col("id").alias("doc_id"), *[count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE)],
+                    F.sha2(joined(base, BASE).cast("binary"), 256).alias("base_sha256"), joined(F.col("found"), RULES).alias("spans"))

@@ -252,7 +252,7 @@ def test_secrets(spark):
     got = secrets.scan_secrets(frame(spark, SECRETS)).collect()
     want = sorted(((i, *brute.secrets(t)) for i, t, *_ in SECRETS), key=str)
     assert sorted((tuple(r) for r in got), key=str) == want
-    assert [len(r.query()) for r in secrets.RULES] == [6, 1, 0]
+    assert [len(r.query()) for r in secrets.BASE] == [6, 1, 0]
 
 
 @pytest.mark.parametrize("length", [200, 400])
