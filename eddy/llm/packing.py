@@ -7,12 +7,12 @@ pieces are packed into as few sequences of ``capacity`` tokens as can be found:
 * Best-fit decreasing gives the incumbent.
 * If it needs more sequences than ``ceil(tokens / capacity)``, a depth-first
   branch-and-bound completes one sequence after the other: the largest piece
-  that is left opens it, and the undominated fillings of the rest of the
-  sequence (single pieces, pairs and triples in order of waste; an exact single
-  piece dominates all others) are tried in order of waste. A branch ends as soon
-  as its waste exceeds what a packing with one sequence less may waste.
-  ``nodes`` bounds the completions tried per group; the incumbent stays if
-  nothing better was found.
+  that is left opens it, and all undominated fillings of the rest of the sequence
+  are tried in order of waste, each made when its turn comes (sums that pieces can
+  have are bits of an integer). A branch ends as soon as its waste exceeds what a
+  packing with one sequence less may waste. The least number of sequences takes
+  exponential time in the worst case, so a group may try ``nodes`` fillings for each
+  of its pieces; the incumbent stays if nothing better was found by then.
 
 Scale: tokenising is the work; every task encodes each distinct word once and
 joins ids as bytes; the word table lives in the Python worker and is emptied
@@ -34,6 +34,7 @@ import re
 import sys
 import unicodedata
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,10 @@ CAPACITY = 4096
 END_ID = 1
 #: pieces that are packed together
 GROUP_ROWS = 32768
-#: completions that the search of one group may try
-NODES = 20_000
+#: fillings that the search of a group may try for each piece of it, and at least
+NODES, LEAST_NODES = 4, 20_000
+#: open bins of a search that keep their fillings' state; those below are begun again
+KEPT_FRAMES = 32
 #: distinct words whose ids a task keeps
 CACHE_WORDS = 500_000
 #: bytes that part words for the word cache; the tokenizer's own pattern never
@@ -202,58 +205,78 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def completions(counts: np.ndarray, gap: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``gap`` in order of waste, ``width`` at most.
-
-    A filling is dominated when another one fits in which some of its pieces
-    are replaced by a single larger one or to which a piece could be added; so
-    only fillings whose last piece is the largest that fits are kept, and an
-    exact single piece is alone."""
-    sizes = np.flatnonzero(counts[:gap + 1])
-    if not len(sizes):
-        return [()]
+def span_bits(bits: int, most: int) -> int:
+    """``bits`` or-ed with its shifts by 1 .. ``most``."""
+    done = 0
+    while done < most:
+        step = min(done + 1, most - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def dominated(fill: tuple[int, ...], waste: int, spare: int) -> bool:
+    """Whether some pieces of ``fill`` could be replaced by one other piece (bits of
+    ``spare``: lengths left over) that is larger, or as large as two or more of them,
+    and still fit: then they fit where that piece goes, so the filling is no better."""
+    one = several = 0  # bit s: one piece, or two and more, have the sum s
+    for x in fill:
+        several |= (several | one) << x
+        one |= 1 << x
+    if several & spare:
+        return True
+    return bool(waste and span_bits((one | several) << 1, waste - 1) & spare)
+
+
+def completions(counts: np.ndarray, gap: int):
+    """All undominated fillings of ``gap`` in order of waste, made as they are asked
+    for. A single piece that fills the gap dominates all others."""
+    sizes = [int(x) for x in np.flatnonzero(counts[:gap + 1])]
+    if not sizes:
+        yield ()
+        return
     if sizes[-1] == gap:
-        return [(int(gap),)]
-    smallest = int(sizes[0])
-    at_most = np.zeros(gap + 1, np.int64)  # largest length present that is <= i
-    at_most[sizes] = sizes
-    np.maximum.accumulate(at_most, out=at_most)
-    found: dict[tuple[int, ...], int] = {}
-
-    def keep(items):
-        items = tuple(sorted((int(x) for x in items), reverse=True))
-        if all(counts[x] >= items.count(x) for x in set(items)):
-            found[items] = gap - sum(items)
-
-    single = int(sizes[-1])
-    if gap - single < smallest:
-        keep((single,))
-    # pairs: for each larger piece the largest partner that still fits
-    first = sizes[sizes * 2 >= min(gap, 2 * single) - single] if len(sizes) > 64 else sizes
-    partner = at_most[gap - first]
-    ok = partner > 0
-    first, partner = first[ok], partner[ok]
-    same = (first == partner) & (counts[first] < 2)
-    first, partner = first[~same], partner[~same]
-    if len(first):
-        waste = gap - first - partner
-        order = np.argsort(waste, kind="stable")[:4 * width]
-        for i in order:
-            x, y, left = int(first[i]), int(partner[i]), int(waste[i])
-            if left < smallest:
-                keep((x, y))
-            else:
-                z = int(at_most[left])
-                if z and (z not in (x, y) or counts[z] > (x == z) + (y == z)):
-                    keep((x, y, z))
-                else:
-                    keep((x, y))
-    if not found:
-        keep((single,))
-    return sorted(found, key=lambda c: (found[c], [-x for x in c]))[:width]
+        yield (gap,)
+        return
+    held = [int(counts[x]) for x in sizes]
+    whole = (1 << (gap + 1)) - 1
+    reach = [1]  # reach[i]: bit s, some of the first i lengths have the sum s
+    for x, c in zip(sizes, held):
+        now, left, k = reach[-1], min(c, gap // x), 1
+        while left:  # c copies as blocks of 1, 2, 4, ... copies
+            k = min(k, left)
+            now |= (now << (x * k)) & whole
+            left -= k
+            k *= 2
+        reach.append(now)
+
+    def exact(total, upto):
+        """Multisets of the first ``upto`` lengths with this sum, larger pieces first."""
+        if not total:
+            yield ()
+            return
+        for i in range(upto - 1, -1, -1):
+            if not reach[i + 1] >> total & 1:
+                return
+            x = sizes[i]
+            for c in range(min(held[i], total // x), 0, -1):
+                if reach[i] >> (total - c * x) & 1:
+                    for rest in exact(total - c * x, i):
+                        yield (x,) * c + rest
+
+    for total in range(gap, 0, -1):
+        if not reach[-1] >> total & 1:
+            continue
+        waste = gap - total
+        for fill in exact(total, len(sizes)):
+            used = {x: fill.count(x) for x in set(fill)}
+            spare = sum(1 << x for x, c in zip(sizes, held) if c > used.get(x, 0))
+            # a piece that still fits beside them dominates as well
+            if not spare & ((1 << (waste + 1)) - 1) and not dominated(fill, waste, spare):
+                yield fill
 
 
-def complete_bins(counts: np.ndarray, capacity: int, nodes: int, width: int = 4) -> list[list[int]]:
+def complete_bins(counts: np.ndarray, capacity: int, nodes: int) -> list[list[int]]:
     """Bins as lists of lengths: branch and bound by bin completion, with
     best-fit decreasing as the first incumbent."""
     incumbent = best_fit(counts, capacity)
@@ -262,39 +285,39 @@ def complete_bins(counts: np.ndarray, capacity: int, nodes: int, width: int = 4)
     if len(incumbent) <= bound:
         return incumbent
     left = counts.astype(np.int64).copy()
-    # one frame per open bin: [lengths in it, waste before it, completions, next]
+    # a frame per open bin: [lengths in it, waste before it, its fillings, largest piece, fillings taken]
     stack: list[list] = []
 
     def opened(waste):
         big = int(np.flatnonzero(left)[-1])
         left[big] -= 1
-        fills = [(big, *f) for f in grow(left, capacity - big, width)]
-        stack.append([None, waste, fills, 0, big])
+        stack.append([None, waste, completions(left.copy(), capacity - big), big, 0])
+        if len(stack) > KEPT_FRAMES:
+            stack[-KEPT_FRAMES - 1][2] = None
 
     opened(0)
     while stack and nodes > 0:
         frame = stack[-1]
-        own, waste, fills, k, big = frame
+        own, waste, _, big, taken = frame
         if own is not None:  # take back the last try
             for x in own[1:]:
                 left[x] += 1
             frame[0] = None
-        if k == len(fills):
+        if frame[2] is None:  # the pieces left are those it was opened with
+            frame[2] = islice(completions(left.copy(), capacity - big), taken, None)
+        fill = next(frame[2], None)
+        frame[4] += 1
+        # later fillings waste more, so the first that wastes too much ends the frame
+        if fill is None or waste + capacity - big - sum(fill) > (len(incumbent) - 1) * capacity - total:
             left[big] += 1
             stack.pop()
             continue
         nodes -= 1
-        frame[3] = k + 1
-        fill = fills[k]
-        spent = waste + capacity - sum(fill)
-        if spent > (len(incumbent) - 1) * capacity - total:
-            frame[3] = len(fills)  # later fillings waste more
-            continue
-        for x in fill[1:]:
+        for x in fill:
             left[x] -= 1
-        frame[0] = fill
+        frame[0] = (big, *fill)
         if left.any():
-            opened(spent)
+            opened(waste + capacity - big - sum(fill))
         else:
             incumbent = [list(f[0]) for f in stack]
             if len(incumbent) <= bound:
@@ -302,32 +325,11 @@ def complete_bins(counts: np.ndarray, capacity: int, nodes: int, width: int = 4)
     return incumbent
 
 
-def grow(counts: np.ndarray, gap: int, width: int) -> list[tuple[int, ...]]:
-    """Maximal fillings: completions whose leftover is filled again while some
-    piece still fits."""
-    out = []
-    for first in completions(counts, gap, width):
-        fill, room = list(first), gap - sum(first)
-        own = counts.copy()
-        for x in first:
-            own[x] -= 1
-        while room and first:
-            more = completions(own, room, 1)[0]
-            if not more:
-                break
-            for x in more:
-                own[x] -= 1
-            fill += more
-            room -= sum(more)
-        out.append(tuple(fill))
-    return sorted(out, key=lambda f: gap - sum(f))
-
-
 def pack_group(capacity, nodes):
     def run(pdf):
         pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
         length = pdf["length"].to_numpy()
-        bins = complete_bins(np.bincount(length, minlength=capacity + 1), capacity, nodes)
+        bins = complete_bins(np.bincount(length, minlength=capacity + 1), capacity, max(LEAST_NODES, nodes * len(length)))
         # rows of one length are interchangeable: hand them out in sorted order
         first = np.searchsorted(-length, -np.arange(capacity + 1), side="left")
         used = np.zeros(capacity + 1, np.int64)

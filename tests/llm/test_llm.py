@@ -344,11 +344,6 @@ def test_bin_completion_beats_best_fit():
     assert -(-total // 100) <= len(best) <= len(first)
     assert sorted(x for b in best for x in b) == sorted(np.repeat(np.arange(101), counts).tolist())
     assert all(sum(b) <= 100 for b in best)
-    # 6 + 4 and 5 + 5: best fit decreasing opens a third bin for 4, 3, 3 / 5, 5
-    small = np.zeros(11, int)
-    for x in (6, 5, 5, 4, 4, 3, 3):
-        small[x] += 1
-    assert len(packing.complete_bins(small, 10, 1000)) == 3
 
 
 def test_mix_documents_equals_its_sizes(spark, rows):
