@@ -139,25 +139,28 @@ def read_history(log: DataFrame, key, item: str, rows, *, keep: list[str] | None
     return got.drop("_row")
 
 
-def running_history(df: DataFrame, key, ts: str, item: str, *, depth: int,
+def running_history(df: DataFrame, key, ts: str, item: str, *, depth: int | None,
                     tiebreak=(), bucket="1 hour",
                     keep: list[str] | None = None) -> DataFrame:
     """List state read-then-append (K4): each row sees the items of the
     ``depth`` most recent *earlier* rows of its key (oldest first) and the
     number of earlier rows. ``depth`` is the length of the history the
-    operator reports, so output stays linear in the input."""
+    operator reports, so output stays linear in the input; ``None`` reports all
+    earlier items, whose total is quadratic in a key's rows (a task holds one
+    key's items once, and writes the lists bucket by bucket)."""
     ko = _ko(key, ts, tiebreak, bucket)
     d = ko.with_bucket(df)
     w = ko.ordered()
+    first = Window.unboundedPreceding if depth is None else -depth
     big = d.select(
         "*",
         # in a struct: collect_list skips NULL items otherwise
-        F.transform(F.collect_list(F.struct(F.col(item).alias("_i"))).over(w.rowsBetween(-depth, -1)),
+        F.transform(F.collect_list(F.struct(F.col(item).alias("_i"))).over(w.rowsBetween(first, -1)),
                     lambda x: x["_i"]).alias("_wl"),
         F.row_number().over(w).alias("_wrn"),
         F.count(F.lit(1)).over(ko.whole_bucket()).alias("_wn"))
-    # last `depth` items of each bucket, from the rows already numbered above
-    tail = (big.filter(F.col("_wn") - F.col("_wrn") < depth)
+    # last `depth` items (or all) of each bucket, from the rows already numbered above
+    tail = ((big if depth is None else big.filter(F.col("_wn") - F.col("_wrn") < depth))
             .groupBy(*ko.pkeys)
             .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in ko.order],
                                                       F.col(item).alias("_i"))))
@@ -165,12 +168,13 @@ def running_history(df: DataFrame, key, ts: str, item: str, *, depth: int,
     tail = tail.select(*ko.pkeys, "_bn", F.transform("_t", lambda x: x["_i"]).alias("_t"))
     prior = tail.select(
         *ko.pkeys,
-        F.flatten(F.collect_list("_t").over(ko.buckets().rowsBetween(-depth, -1)))
+        F.flatten(F.collect_list("_t").over(ko.buckets().rowsBetween(first, -1)))
         .alias("_pt"),
         F.coalesce(F.sum("_bn").over(ko.buckets_before()), F.lit(0)).alias("_pn"))
     j = big.join(prior, on=ko.pkeys)
     hist = F.concat("_pt", "_wl")
-    hist = F.slice(hist, F.greatest(F.size(hist) - depth + 1, F.lit(1)), depth)
+    if depth is not None:
+        hist = F.slice(hist, F.greatest(F.size(hist) - depth + 1, F.lit(1)), depth)
     return j.select(*(keep or []), *ko.keys,
                     (F.col("_pn") + F.col("_wrn") - 1).cast("bigint").alias("n_before"),
                     hist.alias("history"))

@@ -275,12 +275,18 @@ def q_running_count_global(spark, d):
 
 
 @register("running_history", f"""
-SELECT event_id, user_id, (count(*) OVER ({RUN})) - 1 AS n_before, event_id::varchar AS item FROM events""")
+SELECT event_id, user_id, (count(*) OVER ({RUN})) - 1 AS n_before, event_id::varchar AS item,
+       coalesce(array_to_string(list(event_id::varchar) OVER (
+           PARTITION BY user_id ORDER BY ts, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ','), '') AS history
+FROM events""")
 def q_running_history(spark, d):
-    """K4: list state read before append, whole: the append log. A row's history are
-    the items of its key at positions below its ``n_before``."""
+    """K4: list state read before append; every row's whole list, and the item it
+    appends."""
     e = ev(spark, d).withColumn("item", F.col(EID).cast("string"))
-    return rolling.history_log(e, K, TS, "item", tiebreak=[EID], bucket=SCAN_BUCKET, keep=[EID])
+    h = rolling.running_history(e, K, TS, "item", depth=None, tiebreak=[EID], bucket=SCAN_BUCKET,
+                                keep=[EID, "item"])
+    return h.select(EID, K, "n_before", "item", F.array_join("history", ",").alias("history"))
 
 
 # ---------------------------------------------------------------- user functions
