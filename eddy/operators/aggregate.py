@@ -8,8 +8,8 @@ partial ones of a (key, window) are merged ``FAN_IN`` at a time in rounds, so a
 or window that holds most rows is folded by all tasks, and no task ever holds its
 rows.
 
-:func:`flat_map` runs a user function that gives 0..n rows for a row, as a table
-function joined laterally.
+:func:`flat_map` runs a user function that gives 0..n rows for a row, over Arrow
+batches of rows that are dealt evenly over the session's partitions.
 
 :func:`keyed_flat_map` runs a user function ``fn(row, state) -> (rows, state)`` over
 each key's rows in event-time order, a single key over many tasks: rows are
@@ -26,14 +26,19 @@ import sys
 from typing import Any, Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.columns import epoch_us
 
 #: accumulators merged at a time, and those a task holds before it passes them on
 FAN_IN, HELD = 64, 20_000
+#: rows whose outputs a flatMap holds at a time
+FLAT_ROWS = 1000
 
 
 def none(x):
@@ -128,17 +133,30 @@ def window_aggregate(df: DataFrame, keys, ts: str, size: str, fn: Aggregate, *,
 def flat_map(df: DataFrame, fn, output: str, *args, keep=()) -> DataFrame:
     """Columns ``keep`` of each row of ``df`` with every row (a tuple of the columns
     of ``output``) that ``fn(*args)`` yields for it; none, one or many."""
-    from pyspark.sql.functions import udtf
-
-    class Call:
-        def eval(self, *values):
-            for r in fn(*values) or ():
-                yield tuple(r)
-
-    table = udtf(Call, returnType=output, useArrow=True)
+    names = [*keep, *StructType.fromDDL(output).names]
     given = df.select(*keep, *[F.col(a).alias(f"_a{i}") for i, a in enumerate(args)])
-    out = given.lateralJoin(table(*[F.col(f"_a{i}").outer() for i in range(len(args))]))
-    return out.drop(*[f"_a{i}" for i in range(len(args))])
+    # a small file is few splits: the function's work is dealt over all tasks
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    kept = given.select(*keep).schema
+    schema = StructType([*kept.fields, *StructType.fromDDL(output).fields])
+    types = to_arrow_schema(StructType.fromDDL(output)).types
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, FLAT_ROWS):
+                part = b.slice(at, FLAT_ROWS)
+                values = [part.column(i).to_pylist() for i in range(len(keep), part.num_columns)]
+                origin, rows = [], []
+                for i, v in enumerate(zip(*values) if values else [()] * part.num_rows):
+                    for r in fn(*v) or ():
+                        origin.append(i)
+                        rows.append(tuple(r))
+                take = pa.array(origin, pa.int64())
+                made = zip(*rows) if rows else [[]] * len(types)
+                yield pa.RecordBatch.from_arrays([*[part.column(i).take(take) for i in range(len(keep))],
+                                                  *[pa.array(c, t) for c, t in zip(made, types)]], names=names)
+
+    return given.repartition(parts).mapInArrow(run, schema)
 
 
 # ------------------------------------------------------- flatMap with keyed state
