@@ -18,14 +18,22 @@ which an incrementally applied reduce function has to be anyway.
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from collections import namedtuple
+from itertools import groupby, islice
+from typing import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .scan import KEY, TB, KeyedOrder
 
+#: rows of an output batch of a cogroup
+OUT_ROWS = 1000
+
 
 def _ddl(df: DataFrame, cols: list[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
@@ -122,39 +130,48 @@ def keyed_reduce(df: DataFrame, key, ts: str, fields: list[str],
     return j.drop(KEY).mapInPandas(combine, out_schema)
 
 
-def _groups_sorted(batches, group_cols, handle):
-    """Call ``handle(rows)`` once per group of an iterator of pandas batches
-    sorted by ``group_cols`` (a group may span batches; only the current
-    group's rows are held)."""
-    pending = None
-    for b in batches:
-        if len(b) == 0:
-            continue
-        if pending is not None:
-            b = pd.concat([pending, b], ignore_index=True)
-        keys = b[group_cols]
-        last = keys.shift()
-        change = ((keys != last) & ~(keys.isna() & last.isna())).any(axis=1).to_numpy()
-        change[0] = True
-        starts = [*change.nonzero()[0].tolist(), len(b)]
-        outs = [handle(b.iloc[s:e]) for s, e in zip(starts[:-2], starts[1:-1])]
-        pending = b.iloc[starts[-2]:]
-        if outs:
-            yield pd.concat(outs, ignore_index=True)
-    if pending is not None and len(pending):
-        yield handle(pending)
+def _plain(x):
+    """A value to tell groups by: NaN never equals itself."""
+    return "nan" if x != x else x
+
+
+def _cogrouped(batches, group, fn, types, names):
+    """Call ``fn(left, right)`` once per group of an iterator of Arrow batches sorted
+    by the columns ``group`` (a group may span batches; only the current group's rows
+    are held). The last two columns are the session and the side."""
+    row, key = None, None
+    def each():
+        nonlocal row, key
+        for b in batches:
+            if row is None:
+                row = namedtuple("Row", b.schema.names[:-2], rename=True)
+                key = [b.schema.names.index(c) for c in group]
+            yield from zip(*[c.to_pylist() for c in b.columns])
+
+    def made():
+        for _, g in groupby(each(), key=lambda r: [_plain(r[i]) for i in key]):
+            sides = [], []
+            for r in g:
+                sides[r[-1] - 1].append(row(*r[:-2]))
+            yield from fn(*sides) or ()
+
+    rows = made()
+    while part := list(islice(rows, OUT_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names=names)
 
 
 def cogroup_apply(left: DataFrame, right: DataFrame, key: str, ts: str, gap: str,
-                  fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, *,
+                  fn: Callable[[list, list], Iterable[tuple]], schema: str, *,
                   tiebreak: str, bucket="1 hour", partitions: int | None = None) -> DataFrame:
     """U8: a user CoGroupFunction over session windows: ``fn(left_rows,
-    right_rows)`` (pandas, both sorted by time, either may be empty) is called
-    once per (key, session) formed from both sides' events together.
+    right_rows)`` (lists of named tuples, both sorted by time, either may be empty)
+    is called once per (key, session) formed from both sides' events together and
+    yields tuples of the columns of ``schema``.
 
     The tagged union is hash-partitioned by (key, session) and sorted inside
-    each partition; ``mapInPandas`` walks the sorted rows and calls ``fn`` per
-    group, holding one session at a time (no per-group task overhead)."""
+    each partition; ``mapInArrow`` walks the sorted rows and calls ``fn`` per
+    group, holding one session at a time (no frame per group, whose making would
+    cost more than the function)."""
     from ..session import default_parallelism
     from .joins import session_ids
     n = partitions or default_parallelism(left.sparkSession)
@@ -162,14 +179,11 @@ def cogroup_apply(left: DataFrame, right: DataFrame, key: str, ts: str, gap: str
         right.withColumn("_side", F.lit(2)), allowMissingColumns=True),
         key, ts, gap, [tiebreak], bucket)
     grp = [key, "session_id"]
-
-    def handle(g: pd.DataFrame) -> pd.DataFrame:
-        side = g["_side"]
-        return fn(g[side == 1].drop(columns=["_side", "session_id"]),
-                  g[side == 2].drop(columns=["_side", "session_id"]))
-
+    u = u.select(*[c for c in u.columns if c not in ("session_id", "_side")], "session_id", "_side")
+    out = StructType.fromDDL(schema)
+    types, names = to_arrow_schema(out).types, out.names
     return (u.repartition(n, *grp).sortWithinPartitions(*grp, ts, tiebreak)
-            .mapInPandas(lambda it: _groups_sorted(it, grp, handle), schema))
+            .mapInArrow(lambda it: _cogrouped(it, grp, fn, types, names), schema))
 
 
 # Functions of this module run inside Spark tasks: ship them by value so

@@ -680,22 +680,19 @@ def q_rolling_reduce_udf(spark, d):
                         keep=[EID])
 
 
-def _cogroup_text(lp, rp):
+def _cogroup_text(left, right):
     """The reference's CoGroupFunction: both sides' items as one text block."""
-    import pandas as pd
-    k = lp["user_id"].iloc[0] if len(lp) else rp["user_id"].iloc[0]
-    def block(title, p):
-        return title + "".join(f"{a}{COGROUP_ITEM_SEP}{b}\n"
-                               for a, b in zip(p["user_id"], p["v"]))
-    return pd.DataFrame({"user_id": [k], "session_start": [min(
-        list(lp["ts"]) + list(rp["ts"]))], "n_left": [len(lp)], "n_right": [len(rp)],
-        "text": [block(COGROUP_HEADER_LEFT, lp) + block(COGROUP_HEADER_RIGHT, rp)]})
+    def block(title, rows):
+        return title + "".join(f"{r.user_id}{COGROUP_ITEM_SEP}{r.v}\n" for r in rows)
+    rows = left + right
+    yield (rows[0].user_id, min((r.ts for r in rows if r.ts is not None), default=None), len(left), len(right),
+           block(COGROUP_HEADER_LEFT, left) + block(COGROUP_HEADER_RIGHT, right))
 
 
 @register("cogroup_session_udf", """
 SELECT user_id, session_start, n_left, n_right, text FROM (""" + ORACLE_SQL["cogroup_session"] + ")")
 def q_cogroup_session_udf(spark, d):
-    """U8: J3 written as a user CoGroupFunction (pandas) per (key, session)."""
+    """U8: J3 written as a user CoGroupFunction per (key, session)."""
     from ..operators.udf import cogroup_apply
     l, r = _sides(spark, d)
     return cogroup_apply(l.drop("event_type"), r.drop("event_type"), K, TS, GAP, _cogroup_text,
