@@ -25,18 +25,25 @@ import heapq
 import sys
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.types import IntegralType
 
 from ..functions.columns import epoch_us
 
 #: not to begin with an underscore: Spark renames such columns on their way to the processor
 TIME = "event_time_us"
 TAG = "tag"
+BUCKET = "key_bucket"
+#: buckets of keys of the late split
+LATE_BUCKETS = 1024
+#: stands for no time yet
+UNKNOWN = -(2 ** 63)
 
 
 class Value:
@@ -347,26 +354,42 @@ def stream_late_split(stream: DataFrame, keys, ts: str, arrival: list[str], dela
     first) and ``late``, whether its own time is not above that: the late output is
     ``where("late")``, what stays ``where("not late")``, and nothing is dropped.
     Micro-batches come in order of ``arrival``, rows inside one in any order. The
-    state is one number a key (E4)."""
+    state is one number a key (E4), held side by side for a bucket of keys: Python is
+    called once per bucket and micro-batch."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = stream.columns
-    timed = stream.withColumn(TIME, epoch_us(ts))
+    timed = stream.withColumn(TIME, epoch_us(ts)).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(LATE_BUCKETS)).cast("int"))
     out = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in cols) + ", watermark_us long, late boolean"
+    whole = [isinstance(stream.schema[k].dataType, IntegralType) for k in keys]
+    kept = ", ".join(f"k{i} array<{stream.schema[k].dataType.simpleString()}>" for i, k in enumerate(keys)) + ", most array<long>"
 
     def split(key, batches, state):
-        most = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(arrival, kind="stable", ignore_index=True)
+        held = {}
+        if state.exists:
+            *names, most = state.get
+            held = dict(zip(zip(*names), most))
+        rows = pd.concat(list(batches), ignore_index=True)
+        rows = rows.assign(**{BUCKET: rows.groupby(keys, dropna=False, sort=False).ngroup()})
+        rows = rows.sort_values([BUCKET, *arrival], kind="stable", ignore_index=True)
+        code = rows[BUCKET].to_numpy()
+        first = np.concatenate([[True], code[1:] != code[:-1]])
+        own = [tuple(int(x) if w and x is not None else x for x, w in zip(map(none, k), whole))
+               for k in rows.loc[first, keys].itertuples(index=False, name=None)]
+        start = np.array([held.get(k, UNKNOWN) for k in own], "int64")
         # the largest time before each row; rows without a time are never late
-        times = rows[TIME].astype("Int64")
-        before = pd.concat([pd.Series([most], dtype="Int64"), times]).cummax().ffill().iloc[:-1].reset_index(drop=True)
-        mark = before - delay_us
-        yield rows[cols].assign(watermark_us=mark, late=(times <= mark).fillna(False).astype(bool))
-        top = times.max()
-        known = [int(x) for x in (most, None if top is pd.NA else top) if x is not None]
-        if known:
-            state.update((max(known),))
-
-    return timed.groupBy(*keys).applyInPandasWithState(split, out, "most long", "append", GroupStateTimeout.NoTimeout)
+        times = rows[TIME].astype("Int64").fillna(UNKNOWN).astype("int64")
+        so_far = np.maximum(times.groupby(code).cummax().to_numpy(), start[code])
+        before = np.where(first, start[code], np.concatenate([[UNKNOWN], so_far[:-1]]))
+        known = before > UNKNOWN
+        mark = np.where(known, before - delay_us * known, 0)
+        late = known & (times.to_numpy() > UNKNOWN) & (times.to_numpy() <= mark)
+        yield rows[cols].assign(watermark_us=pd.Series(mark, dtype="Int64").mask(~known), late=late)
+        last = np.concatenate([code[1:] != code[:-1], [True]])
+        held.update((k, int(m)) for k, m in zip(own, so_far[last]) if m > UNKNOWN)
+        if held:
+            state.update((*([k[i] for k in held] for i in range(len(keys))), list(held.values())))
+
+    return timed.groupBy(BUCKET).applyInPandasWithState(split, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
