@@ -11,6 +11,10 @@ Inside one micro-batch a key's rows are sorted by (event time, tie-break)
 and processed with vectorised numpy where the update is a scan (count,
 running arg-max, previous value); the rise alarm is a small per-row state
 machine. State is per key: a few numbers, never the key's rows.
+
+The rolling forms meet Python once per bucket of keys (``bucket_of``), not once
+per key: a call costs milliseconds, a key's arithmetic microseconds. The state of
+a bucket is that of its keys side by side; the NULL key has a bucket of its own.
 """
 
 from __future__ import annotations
@@ -19,19 +23,29 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-ROLLING_STATE = ("cnt bigint, last double, best_v double, best_t bigint, best_e bigint")
+#: buckets of keys of the rolling forms, whatever the number of state partitions
+BUCKETS = 1024
+ROLLING_STATE = ("k array<bigint>, cnt array<bigint>, last array<double>, best_v array<double>, "
+                 "best_t array<bigint>, best_e array<bigint>")
 ROLLING_OUT = ("event_id bigint, user_id bigint, t_us bigint, value double, cnt bigint, "
                "last_value double, best_t bigint, best_v double")
 
 
-def roll(key, st, t, e, v):
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """The bucket of a key; -1 for NULL."""
+    return F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets))).otherwise(F.lit(-1)).cast("int")
+
+
+def roll_arrays(st, t, e, v):
     """Apply one key's rows (any order; sorted here by time, tie-break) to
-    the rolling state ``st`` (or None). Returns the per-row output frame and
-    the new state: running count, previous value, running arg-max (a row
-    becomes the best only if strictly greater, so the earliest wins ties; the
-    first row is the best so far whatever its value, and NaN is above all
-    numbers, as in the batch form)."""
+    the rolling state ``st`` (or None). Returns the per-row columns and the new
+    state: running count, previous value, running arg-max (a row becomes the
+    best only if strictly greater, so the earliest wins ties; the first row is
+    the best so far whatever its value, and NaN is above all numbers, as in the
+    batch form)."""
     order = np.lexsort((e, t))
     t, e, v = t[order], e[order], v[order]
     n = len(t)
@@ -47,14 +61,65 @@ def roll(key, st, t, e, v):
     idx = np.maximum.accumulate(np.where(new_best, np.arange(n), -1))
     best_v = np.where(idx >= 0, v[np.maximum(idx, 0)], np.nan if bv0 is None else bv0)
     best_t = np.where(idx >= 0, t[np.maximum(idx, 0)], -1 if bt0 is None else bt0)
-    out = pd.DataFrame({
-        "event_id": e, "user_id": np.full(n, key, dtype="int64"), "t_us": t,
-        "value": v, "cnt": cnt,
-        "last_value": pd.array(prev, dtype="Float64"),  # NaN (no previous) -> NULL
-        "best_t": best_t, "best_v": best_v})
     li = int(idx[-1])
     nb = (float(v[li]), int(t[li]), int(e[li])) if li >= 0 else (bv0, bt0, be0)
-    return out, (int(cnt[-1]), float(v[-1]), *nb)
+    return (e, t, v, cnt, prev, best_t, best_v), (int(cnt[-1]), float(v[-1]), *nb)
+
+
+def rolled_frame(users, columns) -> pd.DataFrame:
+    e, t, v, cnt, prev, best_t, best_v = columns
+    return pd.DataFrame({
+        "event_id": e, "user_id": users, "t_us": t, "value": v, "cnt": cnt,
+        "last_value": pd.array(prev, dtype="Float64"),  # NaN (no previous) -> NULL
+        "best_t": best_t, "best_v": best_v})
+
+
+def roll(key, st, t, e, v):
+    """:func:`roll_arrays` with the columns as a frame of ``ROLLING_OUT``."""
+    columns, state = roll_arrays(st, t, e, v)
+    return rolled_frame(np.full(len(t), key, dtype="int64"), columns), state
+
+
+def roll_keys(k, t, e, v, held: dict, null: bool) -> pd.DataFrame:
+    """The rows of several keys; ``held`` (key -> state) is brought up to date."""
+    order = np.argsort(k, kind="stable")
+    k, t, e, v = k[order], t[order], e[order], v[order]
+    cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+    parts = []
+    for i, j in zip(cuts, cuts[1:]):
+        key = int(k[i])
+        columns, held[key] = roll_arrays(held.get(key), t[i:j], e[i:j], v[i:j])
+        parts.append(columns)
+    users = pd.array([None] * len(k), dtype="Int64") if null else k
+    return rolled_frame(users, [np.concatenate(c) for c in zip(*parts)])
+
+
+def unpacked(k, cnt, last, best_v, best_t, best_e) -> dict:
+    # a NaN may come back from the state store as None
+    number = lambda x: np.nan if x is None else x
+    return {key: (c, number(l), number(bv), bt, be) for key, c, l, bv, bt, be in zip(k, cnt, last, best_v, best_t, best_e)}
+
+
+def packed(held: dict) -> tuple:
+    return (list(held), *([s[i] for s in held.values()] for i in range(5)))
+
+
+def bucket_rows(pdfs) -> tuple:
+    """Keys (0 in the NULL key's bucket), times, ids and values."""
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return (pdf["user_id"].to_numpy("int64"), pdf["t_us"].to_numpy("int64"), pdf["event_id"].to_numpy("int64"),
+            pdf["value"].to_numpy("float64"))
+
+
+def rolling_group(key, pdfs, state):
+    """``applyInPandasWithState`` function for R2 + K3 + K5 (ordered input):
+    the rows of this micro-batch of a bucket of keys are applied in (time,
+    tie-break) order to the rolling state of each key."""
+    held = unpacked(*state.get) if state.exists else {}
+    out = roll_keys(*bucket_rows(pdfs), held, key[0] < 0)
+    state.update(packed(held))
+    yield out
 
 
 RISE_STATE = "last double, has_last boolean, timer bigint"
@@ -76,19 +141,6 @@ def rise_step(state, t, v, n_us, fired):
     return (v, True, timer)
 
 
-def rolling_group(key, pdfs, state):
-    """``applyInPandasWithState`` function for R2 + K3 + K5 (ordered input):
-    the key's rows of this micro-batch are applied in (time, tie-break)
-    order to its rolling state."""
-    parts = list(pdfs)
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    out, new_state = roll(key[0], state.get if state.exists else None,
-                          pdf["t_us"].to_numpy("int64"), pdf["event_id"].to_numpy("int64"),
-                          pdf["value"].to_numpy("float64"))
-    state.update(new_state)
-    yield out
-
-
 def rise_group(interval_us: int, first_floor: float | None = None):
     """``applyInPandasWithState`` function for the rise alarm (ordered input)
     with an event-time timeout at the pending alarm's due time."""
@@ -115,39 +167,29 @@ def rise_group(interval_us: int, first_floor: float | None = None):
     return fn
 
 
-BUFFERED_ROLLING_STATE = (ROLLING_STATE + ", buf_t array<bigint>, buf_e array<bigint>, "
+BUFFERED_ROLLING_STATE = (ROLLING_STATE + ", buf_k array<bigint>, buf_t array<bigint>, buf_e array<bigint>, "
                           "buf_v array<double>")
 
 
 def buffered_rolling_group(key, pdfs, state):
     """``applyInPandasWithState`` function for R2 + K3 + K5 over out-of-order
-    input: the key's waiting rows (newer than the watermark) are kept in its
-    state next to the rolling values; each call adds the new rows, applies
+    input: the waiting rows (newer than the watermark) of a bucket of keys are kept
+    in its state next to the rolling values; each call adds the new rows, applies
     every waiting row at or below the watermark in event-time order and sets
     an event-time timeout at the oldest row still waiting."""
     wm_us = state.getCurrentWatermarkMs() * 1000
+    held, waiting = {}, ([], [], [], [])
     if state.exists:
-        cnt, last, bv, bt, be, buf_t, buf_e, buf_v = state.get
-        rolling = (cnt, last, bv, bt, be) if cnt else None
-        t = list(buf_t or []); e = list(buf_e or []); v = list(buf_v or [])
-    else:
-        rolling, t, e, v = None, [], [], []
+        held, waiting = unpacked(*state.get[:6]), state.get[6:]
+    rows = [np.array(x, dtype=d) for x, d in zip(waiting, ("int64", "int64", "int64", "float64"))]
     if not state.hasTimedOut:
-        for pdf in pdfs:
-            t += pdf["t_us"].astype("int64").tolist()
-            e += pdf["event_id"].astype("int64").tolist()
-            v += pdf["value"].astype("float64").tolist()
-    ta, ea, va = (np.array(t, dtype="int64"), np.array(e, dtype="int64"),
-                  np.array(v, dtype="float64"))
-    ready = ta <= wm_us
-    out = None
-    if ready.any():
-        out, rolling = roll(key[0], rolling, ta[ready], ea[ready], va[ready])
-    keep = ~ready
-    r = rolling if rolling is not None else (0, None, None, None, None)
-    state.update((*r, ta[keep].tolist(), ea[keep].tolist(), va[keep].tolist()))
-    if keep.any():
-        state.setTimeoutTimestamp(-((-int(ta[keep].min())) // 1000))
+        rows = [np.concatenate(x) for x in zip(rows, bucket_rows(pdfs))]
+    ready = rows[1] <= wm_us
+    out = roll_keys(*(x[ready] for x in rows), held, key[0] < 0) if ready.any() else None
+    rest = [x[~ready].tolist() for x in rows]
+    state.update((*packed(held), *rest))
+    if rest[1]:
+        state.setTimeoutTimestamp(-((-min(rest[1])) // 1000))
     if out is not None:
         yield out
 

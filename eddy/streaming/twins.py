@@ -17,7 +17,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .processors import (BUFFERED_RISE_STATE, BUFFERED_ROLLING_STATE, RISE_OUT, RISE_STATE,
                          ROLLING_OUT, ROLLING_STATE, buffered_rise_group,
-                         buffered_rolling_group, rise_group, rolling_group)
+                         bucket_of, buffered_rolling_group, rise_group, rolling_group)
 from .runner import ChunkedStream
 
 ETS = "ets"
@@ -31,6 +31,11 @@ def _ntz(col: str):
     return ntz_from_us(F.unix_micros(F.col(col)))
 
 
+def _key_number(key: str):
+    """The key for :mod:`processors`; the NULL key is told by its bucket."""
+    return F.coalesce(F.col(key), F.lit(0)).cast("bigint").alias("user_id")
+
+
 def stream_tumbling_count(spark: SparkSession, events: DataFrame, key: str, size: str,
                           delay: str, chunks: int = 3, splits=None,
                           name="tumbling") -> DataFrame:
@@ -117,9 +122,9 @@ def stream_rolling(spark, events, key="user_id", ts="ts", value="value",
     Output per input row: count so far, previous value, running arg-max."""
 
     def build(s):
-        s = s.select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
-                     epoch_us(ts).alias("t_us"), F.col(value).alias("value"))
-        return s.groupBy("user_id").applyInPandasWithState(
+        s = s.select(F.col(tiebreak).alias("event_id"), _key_number(key),
+                     epoch_us(ts).alias("t_us"), F.col(value).alias("value"), bucket_of(key).alias("bucket"))
+        return s.groupBy("bucket").applyInPandasWithState(
             rolling_group, ROLLING_OUT, ROLLING_STATE, "append", GroupStateTimeout.NoTimeout)
     out = ChunkedStream(spark, "rolling", events, ts, chunks, no_data="never").run(build)
     return out.withColumn("ts", ntz_from_us("t_us")).withColumn(
@@ -136,9 +141,9 @@ def stream_rolling_unordered(spark, events, arrival: str, delay: str, key="user_
 
     def build(s):
         s = (_with_ets(s, ts).withWatermark(ETS, delay)
-             .select(F.col(tiebreak).alias("event_id"), F.col(key).alias("user_id"),
-                     epoch_us(ts).alias("t_us"), F.col(value).alias("value"), ETS))
-        return s.groupBy("user_id").applyInPandasWithState(
+             .select(F.col(tiebreak).alias("event_id"), _key_number(key),
+                     epoch_us(ts).alias("t_us"), F.col(value).alias("value"), bucket_of(key).alias("bucket"), ETS))
+        return s.groupBy("bucket").applyInPandasWithState(
             buffered_rolling_group, ROLLING_OUT, BUFFERED_ROLLING_STATE, "append",
             GroupStateTimeout.EventTimeTimeout)
     out = ChunkedStream(spark, "unordered", events, arrival, chunks, flush=True).run(build)
