@@ -9,11 +9,14 @@ on how rows arrive, and the batch form and the stream form give the same rows.
 
 Batch: rows are hash-partitioned by key, sorted inside their partition and walked
 one at a time (``mapInPandas``); a key's state is all that is held. Stream:
-``transformWithStateInPandas``; rows wait in the key's list state until the
-watermark passes them, a Spark timer wakes the key up, and what is due is applied
-in order. State is read when user code first asks for it and written when it has
-changed. A user function has to see a key's rows one after another, so a key is
-never split; functions that can be merged belong to ``operators.aggregate``.
+``transformWithStateInPandas`` over buckets of keys, since a call costs milliseconds
+and a key's own work microseconds; rows wait in the bucket's list state until the
+watermark passes them, a Spark timer wakes the bucket up, and what is due is applied
+key by key, in order. A key's state is entries of map states of its bucket, read when
+user code first asks for it (for many keys, all at once) and written when it has
+changed; a list is kept in chunks, so that what is appended rewrites one chunk at
+most. A user function has to see a key's rows one after another, so a key is never
+split; functions that can be merged belong to ``operators.aggregate``.
 
 NULL keys are one key. Rows without a time come first in batch; a stream has none
 (its watermark column must not be NULL).
@@ -22,17 +25,20 @@ NULL keys are one key. Rows without a time come first in batch; a stream has non
 from __future__ import annotations
 
 import heapq
+import pickle
 import sys
+from collections import namedtuple
+from functools import reduce
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, StructType
 
 from ..functions.columns import epoch_us
 
@@ -40,8 +46,15 @@ from ..functions.columns import epoch_us
 TIME = "event_time_us"
 TAG = "tag"
 BUCKET = "key_bucket"
+NULLS = "null_integers"
 #: buckets of keys of the late split
 LATE_BUCKETS = 1024
+#: buckets of keys of a stream's keyed process, for each choice of NULL keys
+PROCESS_BUCKETS = 1024
+#: values of a list that are stored together
+CHUNK = 256
+#: keys of a bucket beyond which their state is read all at once
+FEW_KEYS = 8
 #: stands for no time yet
 UNKNOWN = -(2 ** 63)
 
@@ -222,7 +235,6 @@ def out_ddl(fn: KeyedProcess) -> str:
 
 
 def out_names(df: DataFrame, fn: KeyedProcess) -> list[str]:
-    from pyspark.sql.types import StructType
     return StructType.fromDDL(out_ddl(fn)).names
 
 
@@ -268,28 +280,180 @@ def keyed_process(df: DataFrame, keys, ts: str, fn: KeyedProcess, *, tiebreak=()
 
 
 # ----------------------------------------------------------------------- stream
+def plain(k) -> tuple:
+    """A key as it is found again."""
+    return tuple(bytes(x) if isinstance(x, bytearray) else x for x in map(none, k))
+
+
+class Entries:
+    """A map state of a bucket, whose entries belong to a key of ``width`` columns and
+    a place below it: read one by one or, after :meth:`load`, all at once. Changes are
+    written by :meth:`save`."""
+
+    def __init__(self, stored, width: int):
+        self.stored, self.width, self.all, self.changed = stored, width, None, {}
+
+    def load(self) -> None:
+        if self.all is None:
+            self.all = {}
+            for k, v in self.stored.iterator() if self.stored.exists() else ():
+                k = plain(k)
+                self.all.setdefault(k[:self.width], {})[k[self.width:]] = tuple(v)
+            for (key, place), v in self.changed.items():
+                self.all.setdefault(key, {})[place] = v
+
+    def begin(self, whole: bool) -> None:
+        """``whole``: most entries will be asked for."""
+        if whole or not self.stored.exists():
+            self.load()
+
+    def of(self, key: tuple) -> dict:
+        self.load()
+        return {place: v for place, v in self.all.get(key, {}).items() if v is not None}
+
+    def get(self, key: tuple, place: tuple = ()):
+        if self.all is not None:
+            return self.all.get(key, {}).get(place)
+        if (key, place) not in self.changed:
+            return self.stored.getValue((*key, *place))
+        return self.changed[key, place]
+
+    def put(self, key: tuple, place: tuple, value) -> None:
+        """``value``: a tuple, or ``None`` to remove the entry."""
+        self.changed[key, place] = value
+        if self.all is not None:
+            self.all.setdefault(key, {})[place] = value
+
+    def save(self) -> None:
+        for (key, place), value in self.changed.items():
+            if value is None:
+                self.stored.removeKey((*key, *place))
+            else:
+                self.stored.updateValue((*key, *place), value)
+        self.all, self.changed = None, {}
+
+
+class KeyValue:
+    """One key's part of :class:`Entries`, as a value state."""
+
+    def __init__(self, entries: Entries, key: tuple):
+        self.entries, self.key = entries, key
+
+    def exists(self) -> bool:
+        return self.get() is not None
+
+    def get(self):
+        return self.entries.get(self.key)
+
+    def update(self, value: tuple) -> None:
+        self.entries.put(self.key, (), value)
+
+    def clear(self) -> None:
+        if self.exists():
+            self.entries.put(self.key, (), None)
+
+
+class KeyList:
+    """As a list state: the number of full chunks and the values behind them in one
+    entry, each full chunk in an entry of ``full``."""
+
+    def __init__(self, entries: Entries, full: Entries, key: tuple):
+        self.entries, self.full, self.key = entries, full, key
+
+    def head(self) -> tuple:
+        n, rest = self.entries.get(self.key) or (0, [])
+        return n, list(rest)
+
+    def exists(self) -> bool:
+        return self.entries.get(self.key) is not None
+
+    def get(self):
+        n, rest = self.head()
+        for i in range(n):
+            yield from ((x,) for x in self.full.get(self.key, (i,))[0])
+        yield from ((x,) for x in rest)
+
+    def appendList(self, rows: list) -> None:
+        n, rest = self.head()
+        rest += [r[0] for r in rows]
+        whole = len(rest) // CHUNK
+        for i in range(whole):
+            self.full.put(self.key, (n + i,), (rest[i * CHUNK:(i + 1) * CHUNK],))
+        self.entries.put(self.key, (), (n + whole, rest[whole * CHUNK:]))
+
+    def clear(self) -> None:
+        if self.exists():
+            for i in range(self.head()[0]):
+                self.full.put(self.key, (i,), None)
+            self.entries.put(self.key, (), None)
+
+
+class KeyMap:
+    """As a map state."""
+
+    def __init__(self, entries: Entries, key: tuple):
+        self.entries, self.key = entries, key
+
+    def exists(self) -> bool:
+        return bool(self.entries.of(self.key))
+
+    def containsKey(self, name: tuple) -> bool:
+        return self.entries.get(self.key, name) is not None
+
+    def getValue(self, name: tuple):
+        return self.entries.get(self.key, name)
+
+    def iterator(self):
+        return iter(self.entries.of(self.key).items())
+
+    def updateValue(self, name: tuple, value: tuple) -> None:
+        self.entries.put(self.key, name, value)
+
+    def removeKey(self, name: tuple) -> None:
+        self.entries.put(self.key, name, None)
+
+    def clear(self) -> None:
+        for name in self.entries.of(self.key):
+            self.entries.put(self.key, name, None)
+
+
 class Processor(StatefulProcessor):
-    """Rows wait in ``_rows`` and user timers in ``_timers``; a key wakes up when the
-    watermark passes the earliest of them."""
+    """Rows of a bucket of keys wait in ``_rows`` (pickled lists, as each value of a
+    state costs as much as a call), its user timers are in ``_timers``; a bucket wakes
+    up when the watermark passes the earliest of them."""
 
-    def __init__(self, fn, keys, cols, order, row_schema, names):
-        self.fn, self.keys, self.cols, self.order, self.row_schema, self.names = fn, keys, cols, order, row_schema, names
+    def __init__(self, fn, keys, key_types, cols, order, whole, real, names, numbers):
+        self.fn, self.keys, self.key_types, self.cols, self.order = fn, keys, key_types, cols, order
+        self.whole, self.real, self.names, self.numbers = whole, real, names, numbers
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("_rows", self.row_schema)
-        self.timers = handle.getMapState("_timers", "at long", "on boolean")
-        make = {"value": lambda n, t: handle.getValueState(n, f"v {t}"), "list": lambda n, t: handle.getListState(n, f"v {t}"),
-                "map": lambda n, t: handle.getMapState(n, "k string", f"v {t}")}
-        self.stored = {n: (k, make[k](n, t)) for n, (k, t) in self.fn.states.items()}
+        self.handle, self.done = handle, {}
+        own = ", ".join(f"k{i} {t}" for i, t in enumerate(self.key_types))
+
+        def entries(name, value, place=""):
+            return Entries(handle.getMapState(name, own + place, value), len(self.keys))
+
+        self.rows = handle.getListState("_rows", "rows binary")
+        self.timers = entries("_timers", "at array<long>")
+        make = {"value": lambda n, t: (KeyValue, entries(n, f"v {t}")), "map": lambda n, t: (KeyMap, entries(n, f"v {t}", ", k string")),
+                "list": lambda n, t: (KeyList, entries(n, f"n int, v array<{t}>"), entries(f"_full_{n}", f"v array<{t}>", ", i int"))}
+        self.stored = {n: (k, *make[k](n, t)) for n, (k, t) in self.fn.states.items()}
+        self.row = namedtuple("Row", self.cols, rename=True)._make
         self.fn.open()
 
     def handleInputRows(self, key, rows, timerValues):
         wake = []
         for b in rows:
+            if not len(b):
+                continue
+            wake.append(int(b[TIME].min()))
+            empty = b[NULLS].to_numpy()
+            b = b[[*self.cols, TIME]]
             b = b.astype(object).where(b.notna(), None)
-            self.rows.appendList(list(b[[*self.cols, TIME]].itertuples(index=False, name=None)))
-            wake += [int(b[TIME].min())] if len(b) else []
+            for i, c in enumerate(self.whole):  # a NULL came as 0, as other integers would become floats
+                if (gone := empty >> i & 1).any():
+                    b[c] = b[c].where(gone == 0, None)
+            self.rows.appendList([(pickle.dumps(list(b.itertuples(index=False, name=None))),)])
         self.wake_up(wake)
         yield pd.DataFrame([], columns=self.names)
 
@@ -300,35 +464,62 @@ class Processor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.rows.get()) if self.rows.exists() else []
-        timers = [k[0] for k, _ in self.timers.iterator()] if self.timers.exists() else []
-        due = [r for r in waiting if r[-1] <= limit]
-        if due or any(t <= limit for t in timers):
-            ctx = Context(tuple(none(k) for k in key), {n: KINDS[k](s) for n, (k, s) in self.stored.items()}, timers)
-            row_of = pd.DataFrame([r[:-1] for r in due], columns=self.cols).astype(object)
-            at = {c: i for i, c in enumerate([*self.cols, TIME])}
-            # NULL tie-breaks first, as in a batch
-            ranked = sorted(range(len(due)), key=lambda i: [(due[i][at[c]] is not None, due[i][at[c]]) for c in self.order])
-            rows = list(row_of.itertuples(index=False, name="Row"))
-            for i in ranked:
-                apply(self.fn, ctx, rows[i], due[i][-1])
-            fire(self.fn, ctx, limit)
-            for s in ctx.states.values():
-                s.save()
-            later = [tuple(r) for r in waiting if r[-1] > limit]
-            if due:
-                self.rows.clear()
-                if later:
-                    self.rows.appendList(later)
-            for t in set(timers) - ctx.pending:
-                self.timers.removeKey((t,))
-            for t in ctx.pending - set(timers):
-                self.timers.updateValue((t,), (True,))
-            self.wake_up([*(r[-1] for r in later), *ctx.pending])
-            yield pd.DataFrame(ctx.out, columns=self.names)
-        else:
-            self.wake_up([*(r[-1] for r in waiting), *timers])
+        if self.done.get(key) == limit:  # another timer of the bucket; all that was due is done
             yield pd.DataFrame([], columns=self.names)
+            return
+        self.done[key] = limit
+        waiting = [r for x in self.rows.get() for r in pickle.loads(x[0])] if self.rows.exists() else []
+        later = [r for r in waiting if r[-1] > limit]
+        at = {c: i for i, c in enumerate([*self.cols, TIME])}
+        # NULL tie-breaks first, as in a batch
+        ranked = sorted((r for r in waiting if r[-1] <= limit), key=lambda r: [(r[at[c]] is not None, r[at[c]]) for c in self.order])
+        due: dict[tuple, list] = {}
+        for r in ranked:
+            due.setdefault(plain(r[at[k]] for k in self.keys), []).append(r)
+        self.timers.load()
+        timers = {k: list(own[()][0]) for k, own in self.timers.all.items()}
+        for k, own in timers.items():
+            if min(own) <= limit:
+                due.setdefault(k, [])
+        states = [e for _, _, *own in self.stored.values() for e in own]
+        for _, _, first, *_ in self.stored.values():
+            first.begin(bool(timers) and len(due) > len(timers) / 4)
+        wake, out = [r[-1] for r in later], []
+        for k, own in due.items():
+            ctx = self.applied(k, own, limit, timers.pop(k, []))
+            out += ctx.out
+            wake += ctx.pending
+            if len(out) >= 10_000:
+                yield self.frame(out)
+                out = []
+        if ranked:
+            self.rows.clear()
+            if later:
+                self.rows.appendList([(pickle.dumps(later),)])
+        for entries in (self.timers, *states):
+            entries.save()
+        self.wake_up(wake + [min(x) for x in timers.values()])
+        yield self.frame(out)
+
+    def frame(self, out: list) -> pd.DataFrame:
+        """Rows of several keys; a NULL of one makes no floats of another's integers."""
+        got = pd.DataFrame(out, columns=self.names)
+        return got.assign(**{self.names[i]: pd.Series([r[i] for r in out], dtype=object) for i in self.numbers})
+
+    def applied(self, key: tuple, rows: list, limit: int, timers: list) -> Context:
+        """What is due of one key."""
+        ctx = Context(key, {n: KINDS[kind](make(*own, key)) for n, (kind, make, *own) in self.stored.items()}, timers)
+        for r in rows:
+            own = list(r[:-1])
+            for i in self.real:  # as in a batch
+                own[i] = float("nan") if own[i] is None else own[i]
+            apply(self.fn, ctx, self.row(own), r[-1])
+        fire(self.fn, ctx, limit)
+        for s in ctx.states.values():
+            s.save()
+        if ctx.pending != set(timers):
+            self.timers.put(key, (), (sorted(ctx.pending),) if ctx.pending else None)
+        return ctx
 
     def close(self) -> None:
         self.fn.close()
@@ -341,10 +532,20 @@ def stream_keyed_process(stream: DataFrame, keys, ts: str, fn: KeyedProcess, *,
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [TIME, *([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
     cols = [c for c in stream.columns if c != ts]
-    schema = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in cols) + f", `{TIME}` long"
-    processor = Processor(fn, keys, cols, order, schema, out_names(stream, fn))
-    timed = stream.withColumn(TIME, F.unix_micros(F.col(ts)))
-    return timed.groupBy(*keys).transformWithStateInPandas(processor, out_ddl(fn), "Append", "EventTime")
+    kinds = {c: stream.schema[c].dataType for c in cols}
+    whole = [c for c, t in kinds.items() if isinstance(t, IntegralType)]
+    real = [i for i, t in enumerate(kinds.values()) if t.simpleString() in ("float", "double")]
+    numbers = [i for i, f in enumerate(StructType.fromDDL(out_ddl(fn))) if isinstance(f.dataType, IntegralType)]
+    processor = Processor(fn, keys, [kinds[k].simpleString() for k in keys], cols, order, whole, real, out_names(stream, fn), numbers)
+
+    def bits(names) -> Column:
+        return reduce(Column.__add__, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(names)], F.lit(0)).cast("long")
+
+    # keys of one bucket are NULL in the same columns, so that a NaN is not taken for NULL
+    bucket = bits(keys) * PROCESS_BUCKETS + F.pmod(F.xxhash64(*keys), F.lit(PROCESS_BUCKETS))
+    timed = (stream.withColumn(TIME, F.unix_micros(F.col(ts))).withColumn(BUCKET, bucket).withColumn(NULLS, bits(whole))
+             .withColumns({c: F.coalesce(c, F.lit(0)).cast(kinds[c]) for c in whole}))
+    return timed.groupBy(BUCKET).transformWithStateInPandas(processor, out_ddl(fn), "Append", "EventTime")
 
 
 # --------------------------------------------------------------------- late rows
