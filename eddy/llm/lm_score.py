@@ -38,6 +38,8 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,6 @@ ALPHA = 0.4
 CHUNK_BYTES = 8 << 20
 #: n-gram occurrences that one range of the count table answers
 RANGE_GRAMS = 3_000_000
-UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -57,43 +58,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and the words of each text."""
-    seen: dict[bytes, int] = {}
-    out, lengths = [], []
-    for t in texts:
-        words = t.encode("utf-8", "surrogatepass").translate(UPPER).split()
-        for w in words:
-            if w not in seen:
-                seen[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        out.append(np.array([seen[w] for w in words], np.uint64))
-        lengths.append(len(words))
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.array(lengths, np.int64)
-
-
-def chunk_grams(texts):
-    """``(1-gram hashes, 2-gram hashes, first-word flags, document numbers)`` by
-    word; the 2-gram of a word is the one that ends there."""
-    h, lengths = word_hashes(texts)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    first = np.zeros(len(h), bool)
-    starts = np.cumsum(lengths) - lengths
-    first[starts[lengths > 0]] = True
-    before = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if len(h) else h
-    return h, mixed(mixed(before + np.uint64(1)) ^ h), first, doc
+def chunk_grams(texts: pa.ChunkedArray):
+    """The n-grams of a chunk of texts: ``(document, 1-gram, where a 2-gram ends,
+    2-gram, hashes)``. The first two are by word, in text order; the third holds
+    the places of the words that have one before them, the fourth is by these.
+    n-grams are numbers into the hashes, which are a pair: of the distinct
+    1-grams and of the distinct 2-grams."""
+    if texts.num_chunks != 1:
+        texts = texts.cast(pa.large_string()).combine_chunks()
+    else:
+        texts = texts.chunk(0)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    words = split.flatten()
+    real = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty word
+    if not real.all():
+        words, doc = words.filter(pa.array(real)), doc[real]
+    coded = words.dictionary_encode()
+    one = coded.indices.to_numpy()
+    distinct = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    h = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in distinct), "<u8").astype(np.uint64)
+    at = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+    two, pairs = numbered(mixed(mixed(h + np.uint64(1))[one[at - 1]] ^ h[one[at]]))
+    return doc, one, at, two, (mixed(h), pairs)
+
+
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every value as a number into the distinct values, and these."""
+    coded = pa.array(values).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_numpy()
 
 
 def exploded(ranges):
     """Blocks of a chunk: ``(range, chunk, hashes, counts)``."""
-    def run(pdf):
-        one, two, first, _ = chunk_grams(pdf["text"])
-        grams, counts = np.unique(np.concatenate([mixed(one), two[~first]]), return_counts=True)
+    def run(rows):
+        _, one, _, two, hashes = chunk_grams(rows["text"])
+        n = np.concatenate([np.bincount(x, minlength=len(h)) for x, h in zip((one, two), hashes)])
+        grams, where = np.unique(np.concatenate(hashes), return_inverse=True)
+        counts = np.bincount(where, weights=n, minlength=len(grams)).astype(np.uint32)
         # ranges are equal slices of the hash space, so a block is a slice too
         at = np.searchsorted(grams, bounds(ranges))
-        rows = [(r, grams[x:y].tobytes(), counts[x:y].astype(np.uint32).tobytes()) for r, (x, y) in enumerate(zip(at, at[1:])) if y > x]
-        out = pd.DataFrame(rows, columns=["rng", "grams", "counts"])
-        out["chunk"] = int(pdf["chunk"].iloc[0])
-        return out[["rng", "chunk", "grams", "counts"]]
+        blocks = [(r, x, y) for r, (x, y) in enumerate(zip(at, at[1:])) if y > x]
+        return pa.table({"rng": pa.array([r for r, _, _ in blocks], pa.int32()),
+                         "chunk": pa.array([rows["chunk"][0].as_py()] * len(blocks), pa.int32()),
+                         "grams": pa.array([grams[x:y].tobytes() for _, x, y in blocks], pa.binary()),
+                         "counts": pa.array([counts[x:y].tobytes() for _, x, y in blocks], pa.binary())})
     return run
 
 
@@ -114,36 +123,38 @@ def totals(pdf):
     return pd.DataFrame({"chunk": pdf["chunk"], "rng": pdf["rng"], "totals": answers})
 
 
-def own_counts(doc: np.ndarray, slot: np.ndarray, n_slots: int) -> np.ndarray:
+def own_counts(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """How often the word's n-gram occurs in the word's own document."""
-    key = doc * np.int64(n_slots) + slot
-    _, where, n = np.unique(key, return_inverse=True, return_counts=True)
-    return n[where]
-
-
-def scored(alpha, n_words, id_type):
-    def run(pdf, answers):
-        if not len(pdf):
-            return pd.DataFrame({"doc_id": pd.Series([], dtype="object"), "n_words": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
-        one, two, first, doc = chunk_grams(pdf["text"])
-        m = len(pdf)
-        lengths = np.bincount(doc, minlength=m)
-        total = np.concatenate([np.frombuffer(t, np.int64) for t in answers.sort_values("rng")["totals"]]) if len(answers) else np.zeros(0, np.int64)
-        uni = mixed(one)
-        grams = np.unique(np.concatenate([uni, two[~first]]))
-        s1, s2 = np.searchsorted(grams, uni), np.searchsorted(grams, two)
-        s2[first] = 0
-        c1 = total[s1] - own_counts(doc, s1, len(grams)) if len(one) else total
-        c2 = total[s2] - own_counts(doc, np.where(first, len(grams), s2), len(grams) + 1) if len(one) else total
-        c2[first] = 0
+    n = np.bincount(gram)
+    own = np.ones(len(gram), np.int64)
+    many = np.flatnonzero(n[gram] > 1)  # others occur once in the whole chunk
+    if len(many):
+        where, _ = numbered(doc[many] * np.int64(len(n)) + gram[many])
+        own[many] = np.bincount(where)[where]
+    return own
+
+
+def scored(alpha, n_words):
+    def run(rows, answers):
+        doc, one, at, two, hashes = chunk_grams(rows["text"])
+        lengths = np.bincount(doc, minlength=len(rows))
+        parts = answers.sort_by("rng")["totals"].to_pylist()
+        total = np.concatenate([np.frombuffer(t, np.int64) for t in parts]) if parts else np.zeros(0, np.int64)
+        _, where = np.unique(np.concatenate(hashes), return_inverse=True)
+        known = len(hashes[0])
+        c1 = total[where[:known]][one] - own_counts(doc, one)
+        c2 = np.zeros(len(one), np.int64)
+        c2[at] = total[where[known:]][two] - own_counts(doc[at], two)
+        first = np.ones(len(one), bool)
+        first[at] = False
         rest = n_words - lengths[doc]  # words of the other documents
         back = np.concatenate([[0], c1[:-1]]) if len(c1) else c1  # count of the word before
         with np.errstate(divide="ignore", invalid="ignore"):
             s = np.where(c2 > 0, c2 / np.maximum(back, 1),
                          np.where(c1 > 0, np.where(first, 1.0, alpha) * c1 / np.maximum(rest, 1), alpha * alpha / (rest + 1.0)))
-            sums = np.bincount(doc, weights=np.log(s), minlength=m)
+            sums = np.bincount(doc, weights=np.log(s), minlength=len(rows))
             mean = np.where(lengths > 0, sums / np.maximum(lengths, 1), np.nan)
-        return pd.DataFrame({"doc_id": pdf["id"].to_numpy(), "n_words": lengths.astype(np.int64), "score": mean})
+        return pa.table({"doc_id": rows["id"], "n_words": pa.array(lengths, pa.int64()), "score": pa.array(mean, pa.float64())})
     return run
 
 
@@ -162,10 +173,10 @@ def stupid_backoff(docs: DataFrame, *, alpha: float = ALPHA, id_col="doc_id", te
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(chunks)).cast("int"))
     # one shuffle of the text, for counting and scoring alike
     dealt = dealt.repartition(chunks, "chunk").sortWithinPartitions("chunk", F.xxhash64(F.col("id").cast("string"), "text"))
-    blocks = dealt.groupBy("chunk").applyInPandas(exploded(ranges), "rng int, chunk int, grams binary, counts binary")
+    blocks = dealt.groupBy("chunk").applyInArrow(exploded(ranges), "rng int, chunk int, grams binary, counts binary")
     answers = blocks.groupBy("rng").applyInPandas(totals, "chunk int, rng int, totals binary")
-    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        scored(alpha, n_words, kind), f"doc_id {kind}, n_words long, score double")
+    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        scored(alpha, n_words), f"doc_id {kind}, n_words long, score double")
     return out.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("score")).alias("score"))
 
 
